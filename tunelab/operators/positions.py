@@ -46,7 +46,7 @@ class KeyIndex:
         if not wanted:
             return []
         place = F.row_number().over(Window.partitionBy("part").orderBy("key"))
-        pairs = F.array(*[F.struct(F.lit(part), F.lit(n)) for part, n in wanted.values()])
+        pairs = F.array(*[F.struct(F.lit(part).alias("part"), F.lit(n).alias("place")) for part, n in wanted.values()])
         found = (
             self.keys.where(F.col("part").isin(sorted({part for part, _ in wanted.values()})))
             .withColumn("place", place)

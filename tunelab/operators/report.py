@@ -7,6 +7,8 @@ is small by construction: distinct (model, rate, rank) points of a grid.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -209,9 +211,8 @@ def model_comparison(
     step: str = STEP_COLUMN,
 ) -> DataFrame:
     """Both models at the same (rate, rank), one loss column per model."""
-    cells = [F.struct(F.lit(rate), F.lit(rank)) for rate, rank in configs]
-    here = F.struct(F.col("learning_rate"), F.col("lora_rank"))
-    wanted = F.array_contains(F.array(*cells), here) & F.col("model_size").isin(*models)
+    cells = [(F.col("learning_rate") == F.lit(rate)) & (F.col("lora_rank") == rank) for rate, rank in configs]
+    wanted = reduce(or_, cells) & F.col("model_size").isin(*models)
     points = _with_history(_chosen(runs, wanted), history, loss, run, step)
     return points.groupBy(
         names.rate_text(F.col("learning_rate")).alias("lr"), "lora_rank", "step"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tunelab.operators.prep import only_split
 from tunelab.schemas import nan_to_null, quoted
 
 SPLIT_COLUMN = "split"
+SCHEMA_READERS = 16
 
 
 def _glob(spark: SparkSession, pattern: str, folders_only: bool = False) -> list[str]:
@@ -64,8 +66,13 @@ def load_first(
 
 
 def folder_of(depth: int = 1) -> Column:
-    """Name of the folder that holds the row's file; ``depth`` 2 is its parent."""
-    return F.try_element_at(F.split(F.col("_metadata.file_path"), "/"), F.lit(-1 - depth))
+    """Name of the folder that holds the row's file; ``depth`` 2 is its parent.
+
+    File paths are URIs, so the name is decoded; of ``key=value`` the value is taken.
+    """
+    part = F.try_element_at(F.split(F.col("_metadata.file_path"), "/"), F.lit(-1 - depth))
+    name = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(name, "^[^=]+=", "")
 
 
 def load_prefix(spark: SparkSession, prefix: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
@@ -94,18 +101,22 @@ def load_results(
 def load_run_results(
     spark: SparkSession, parent: str, required: Sequence[str] = ("label", "generated_answer"), fmt: str = "parquet"
 ) -> DataFrame:
-    """Results below ``parent/group/run`` with their ``group`` and ``run_name``.
+    """Results below ``parent/group/run`` with their ``run_group`` and ``run_name``.
 
-    One scan reads all runs.  Runs whose files lack a required column are left
-    out: the first file of each run decides, by its schema alone.
+    One scan reads all runs.  Runs that lack a required column are left out;
+    their schemas are read side by side, from one file footer per run.
     """
     found = _glob(spark, f"{parent.rstrip('/')}/*/*", folders_only=True)
-    good = [path for path in found if schemas.has_columns(spark.read.format(fmt).load(path), list(required))]
+
+    def complete(path: str) -> bool:
+        return schemas.has_columns(spark.read.format(fmt).load(path), list(required))
+
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        good = [path for path, ok in zip(found, pool.map(complete, found)) if ok]
     if not good:
         raise ValueError(f"no result folder below {parent} has the columns {list(required)}")
-    scan = spark.read.format(fmt).load(good).select(*required, "_metadata")
-    where = {"group": folder_of(2), "run_name": folder_of(1)}
-    return scan.withColumns(where).drop("_metadata")
+    where = {"run_group": folder_of(2), "run_name": folder_of(1)}
+    return spark.read.format(fmt).load(good).select(*required, "_metadata").withColumns(where).drop("_metadata")
 
 
 def load_raw_runs(spark: SparkSession, path: str) -> DataFrame:
