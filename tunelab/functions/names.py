@@ -18,14 +18,16 @@ TIMESTAMP_SUFFIX = "yyyy-MM-dd_HH-mm-ss"
 
 
 def run_name_fields(name: Column) -> dict[str, Column]:
-    """Columns parsed from a run name; all null (and not a grid run) without a match."""
-    matched = F.coalesce(name.rlike(RUN_NAME), F.lit(False))
+    """Columns parsed from a run name; all null (and not a grid run) without a match.
+
+    No group of the pattern can match an empty text, so empty means no match.
+    """
 
     def part(group: int) -> Column:
-        return F.when(matched, F.regexp_extract(name, RUN_NAME, group))
+        return F.nullif(F.regexp_extract(name, RUN_NAME, group), F.lit(""))
 
     return {
-        "is_grid_run": matched,
+        "is_grid_run": F.coalesce(name.rlike(RUN_NAME), F.lit(False)),
         "learning_rate": part(1).try_cast("double"),
         "lora_rank": F.when(part(3) == "lora", part(2)).try_cast("int"),
         "method": part(3),

@@ -16,8 +16,13 @@ CONFIG_KEYS = ("model_size", "method", "learning_rate", "lora_rank")
 
 
 def parse_names(runs: DataFrame) -> DataFrame:
-    """Add the fields parsed from ``name``."""
-    return runs.withColumns(names.run_name_fields(F.col("name")))
+    """Add the fields parsed from ``name``.
+
+    They are unfolded from one struct, so each run is parsed once: a later
+    condition on a field reads the field and does not repeat the pattern.
+    """
+    fields = [value.alias(field) for field, value in names.run_name_fields(F.col("name")).items()]
+    return runs.select("*", F.inline(F.array(F.struct(*fields))))
 
 
 def overview(raw: DataFrame) -> DataFrame:
