@@ -230,5 +230,4 @@ def message(role: str, content: Column) -> Column:
 
 def token_count(text: Column) -> Column:
     """Number of runs of non-blank characters."""
-    inner = F.btrim(text, F.lit(" \t\n\r\f"))
-    return F.when(inner == "", 0).otherwise(F.size(F.split(inner, "[ \\t\\n\\r\\f]+")))
+    return F.regexp_count(text, F.lit("[^ \\t\\n\\r\\f]+"))

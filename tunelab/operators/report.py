@@ -263,9 +263,10 @@ def unpivot_benchmark(
     matches ``lr.*lora_{m}``, and the columns those that name the model and the
     subset's accuracy.  A row may serve both models.
     """
-    metrics = [c for c in wide.columns if f"{subset}/accuracy" in c]
-    long = wide.unpivot(["name"], [quoted(c).cast("double").alias(c) for c in metrics], "metric", "accuracy") \
-        if metrics else wide.select("name", F.lit("").alias("metric"), F.lit(None).cast("double").alias("accuracy"))
+    metrics = [f"`{c}`" for c in wide.columns if f"{subset}/accuracy" in c]
+    if not metrics:
+        raise ValueError(f"no accuracy column of {subset}")
+    long = wide.unpivot(["name"], metrics, "metric", "accuracy").withColumn("accuracy", F.col("accuracy").cast("double"))
     fits = [
         F.when(
             F.coalesce(
