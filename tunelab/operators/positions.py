@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,7 +64,7 @@ def key_index(df: DataFrame, key: str) -> KeyIndex:
     driver gets one count per partition, never the keys.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, f"keys-{uuid4().hex}")
+    path = scratch_dir(spark, "keys")
     ranged = df.select(quoted(key).alias("key")).repartitionByRange("key")
     ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
     keys = spark.read.parquet(path)

@@ -97,14 +97,14 @@ def heatmap(
 
 
 def best_rate(runs: DataFrame, by: Sequence[str] = ("model_size", "method")) -> DataFrame:
-    """Learning rate with the least final loss; the smaller rate on ties."""
-    best = F.min(F.struct("final_loss", "learning_rate"))
-    return (
-        converged(runs)
-        .where("is_grid_run")
-        .groupBy(*by)
-        .agg(best.alias("best"))
-        .select(*by, F.col("best.learning_rate").alias("learning_rate"), F.col("best.final_loss").alias("final_loss"))
+    """Learning rate with the least final loss; the smaller rate on ties.
+
+    Runs are first reduced to one loss per rate, by a plain hash aggregate.
+    """
+    per_rate = converged(runs).where("is_grid_run").groupBy(*by, "learning_rate").agg(F.min("final_loss").alias("loss"))
+    best = F.min(F.struct("loss", "learning_rate")).alias("best")
+    return per_rate.groupBy(*by).agg(best).select(
+        *by, F.col("best.learning_rate").alias("learning_rate"), F.col("best.loss").alias("final_loss")
     )
 
 

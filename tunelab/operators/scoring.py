@@ -191,11 +191,11 @@ def confusion(counts: DataFrame, keys: Sequence[str], dense_labels: int = DENSE_
     Zero cells are added by giving every label of a group the group's label
     list.  Groups with more than ``dense_labels`` labels keep only their
     non-zero cells: the missing ones are known to be zero, and writing them
-    would square the size of the result.
+    would square the size of the result.  Both branches share the shuffle of
+    the counts, so the predictions are read once.
     """
-    labels = label_union(counts, keys)
-    small = labels.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") <= dense_labels)
-    listed = labels.join(small, list(keys), "left_semi")
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    listed = label_union(counts, keys).withColumn("k", size).where(F.col("k") <= dense_labels)
     axes = listed.groupBy(*keys).agg(F.sort_array(F.collect_list("label")).alias("axis"))
     zeros = (
         axes.select(*keys, "axis", F.explode("axis").alias("gold"))

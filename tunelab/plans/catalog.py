@@ -112,7 +112,7 @@ def src_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_multi_folder_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "results_by_source")
     cases = judgment_cases(spark, sf_dir).select("row_id", "source", "label", "generated_answer")
-    sinks.write_by(cases, ["source"], path, mode="overwrite")
+    sinks.write_by(cases, ["source"], path)
     return readers.load_prefix(spark, f"{path}/source=").select("row_id", "folder", "label", "generated_answer")
 
 
@@ -128,7 +128,7 @@ def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eval_accuracy_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "results_by_run")
     cases = judgment_cases(spark, sf_dir).select("run_group", "run_name", "label", "generated_answer")
-    sinks.write_by(cases, ["run_group", "run_name"], path, mode="overwrite")
+    sinks.write_by(cases, ["run_group", "run_name"], path)
     results = scoring.label_answers(readers.load_run_results(spark, path))
     return scoring.accuracy(results, keys=["run_group", "run_name"])
 

@@ -9,6 +9,7 @@ laptop and a thousand executors.
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -33,19 +34,22 @@ def get_session(app_name: str = "tunelab", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder of this application below the cluster's shared checkpoint folder.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the cluster's shared checkpoint folder.
 
     All executors must see it, so it is taken from ``spark.checkpoint.dir``.
     Only a local session, whose one machine is the whole cluster, may fall
-    back to a temporary folder; it is remembered in the session setting.
+    back to a temporary folder; it is remembered in the session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tunelab.scratch.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = spark.conf.get("tunelab.scratch.dir", None)
-        if not base:
-            base = tempfile.mkdtemp(prefix="tunelab-")
-            spark.conf.set("tunelab.scratch.dir", base)
-    return f"{base.rstrip('/')}/tunelab/{spark.sparkContext.applicationId}/{name}"
+        base = tempfile.mkdtemp(prefix="tunelab-")
+        spark.conf.set("tunelab.scratch.dir", base)
+    return f"{base.rstrip('/')}/tunelab/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for one written table; like checkpoints, it stays until the folder is cleaned."""
+    return f"{scratch_root(spark)}/{name}-{uuid4().hex}"
