@@ -63,17 +63,17 @@ def _per_class(counts: DataFrame, keys: Sequence[str], classes: Sequence | None)
     if classes is None:
         by_gold = F.struct(
             F.col("gold").alias("label"),
-            F.when(is_right(F.col("gold"), F.col("pred")), F.col("n")).otherwise(none).alias("hits"),
+            F.when(is_right(F.col("gold"), F.col("pred")), F.col("n")).otherwise(none).alias("_hits"),
             F.col("n").alias("support"),
-            none.alias("predicted"),
-            none.alias("outside"),
+            none.alias("_predicted"),
+            none.alias("_outside"),
         )
         by_pred = F.struct(
             F.col("pred").alias("label"),
-            none.alias("hits"),
+            none.alias("_hits"),
             none.alias("support"),
-            F.col("n").alias("predicted"),
-            none.alias("outside"),
+            F.col("n").alias("_predicted"),
+            none.alias("_outside"),
         )
         parts = [by_gold, by_pred]
     else:
@@ -86,13 +86,13 @@ def _per_class(counts: DataFrame, keys: Sequence[str], classes: Sequence | None)
             parts.append(
                 F.struct(
                     value.alias("label"),
-                    F.when(is_gold & is_pred, F.col("n")).otherwise(none).alias("hits"),
+                    F.when(is_gold & is_pred, F.col("n")).otherwise(none).alias("_hits"),
                     F.when(is_gold, F.col("n")).otherwise(none).alias("support"),
-                    F.when(is_pred, F.col("n")).otherwise(none).alias("predicted"),
-                    F.when(inside, none).otherwise(F.col("n")).alias("outside"),
+                    F.when(is_pred, F.col("n")).otherwise(none).alias("_predicted"),
+                    F.when(inside, none).otherwise(F.col("n")).alias("_outside"),
                 )
             )
-    sums = ["hits", "support", "predicted", "outside"]
+    sums = ["_hits", "support", "_predicted", "_outside"]
     cells = counts.select(*keys, F.inline(F.array(*parts)))
     return cells.groupBy(*keys, "label").agg(*[F.sum(c).alias(c) for c in sums])
 
@@ -121,24 +121,24 @@ def class_report(
     rated = _per_class(counts, keys, classes).select(
         *keys,
         "label",
-        "hits",
+        "_hits",
         "support",
-        "predicted",
-        "outside",
-        _ratio(F.col("hits"), F.col("predicted")).alias("p"),
-        _ratio(F.col("hits"), F.col("support")).alias("r"),
-        _ratio(2 * F.col("hits"), F.col("support") + F.col("predicted")).alias("f"),
+        "_predicted",
+        "_outside",
+        _ratio(F.col("_hits"), F.col("_predicted")).alias("_p"),
+        _ratio(F.col("_hits"), F.col("support")).alias("_r"),
+        _ratio(2 * F.col("_hits"), F.col("support") + F.col("_predicted")).alias("_f"),
     )
     key_cols = [quoted(k) for k in keys]
     total = F.sum("support")
     grouped = rated.groupingSets([[*key_cols, F.col("label")], key_cols], *key_cols, F.col("label")).agg(
-        F.grouping("label").alias("is_summary"),
-        F.sum("hits").alias("hits"),
-        F.sum("predicted").alias("predicted"),
+        F.grouping("label").alias("_summary"),
+        F.sum("_hits").alias("_hits"),
+        F.sum("_predicted").alias("_predicted"),
         total.alias("support"),
-        F.max("outside").alias("outside"),
-        *[F.avg(m).alias(f"{m}_avg") for m in "prf"],
-        *[_ratio(F.sum(F.col(m) * F.col("support")), total).alias(f"{m}_wavg") for m in "prf"],
+        F.max("_outside").alias("_outside"),
+        *[F.avg(m).alias(f"{m}_avg") for m in ("_p", "_r", "_f")],
+        *[_ratio(F.sum(F.col(m) * F.col("support")), total).alias(f"{m}_wavg") for m in ("_p", "_r", "_f")],
     )
 
     def row(name: Column, p: Column, r: Column, f: Column) -> Column:
@@ -153,11 +153,11 @@ def class_report(
     label = F.col("label").cast("string")
     for value, shown in (names or {}).items():
         label = F.when(F.col("label") == F.lit(value), shown).otherwise(label)
-    micro_p = _ratio(F.col("hits"), F.col("predicted"))
-    micro_r = _ratio(F.col("hits"), F.col("support"))
-    micro_f = _ratio(2 * F.col("hits"), F.col("support") + F.col("predicted"))
+    micro_p = _ratio(F.col("_hits"), F.col("_predicted"))
+    micro_r = _ratio(F.col("_hits"), F.col("support"))
+    micro_f = _ratio(2 * F.col("_hits"), F.col("support") + F.col("_predicted"))
     unnamed = F.lit(None).cast("double")
-    mixed = F.col("outside") > 0
+    mixed = F.col("_outside") > 0
     overall = row(
         F.when(mixed, "micro avg").otherwise("accuracy"),
         F.when(mixed, micro_p).otherwise(unnamed),
@@ -165,13 +165,13 @@ def class_report(
         F.when(mixed, micro_f).otherwise(micro_r),
     )
     summary = [
-        row(F.lit("macro avg"), F.col("p_avg"), F.col("r_avg"), F.col("f_avg")),
-        row(F.lit("weighted avg"), F.col("p_wavg"), F.col("r_wavg"), F.col("f_wavg")),
+        row(F.lit("macro avg"), F.col("_p_avg"), F.col("_r_avg"), F.col("_f_avg")),
+        row(F.lit("weighted avg"), F.col("_p_wavg"), F.col("_r_wavg"), F.col("_f_wavg")),
     ]
     if with_overall:
         summary.insert(0, overall)
-    one = F.array(row(label, F.col("p_avg"), F.col("r_avg"), F.col("f_avg")))
-    rows = F.when(F.col("is_summary") == 1, F.array(*summary)).otherwise(one)
+    one = F.array(row(label, F.col("_p_avg"), F.col("_r_avg"), F.col("_f_avg")))
+    rows = F.when(F.col("_summary") == 1, F.array(*summary)).otherwise(one)
     return grouped.select(*keys, F.inline(rows))
 
 
@@ -195,11 +195,11 @@ def confusion(counts: DataFrame, keys: Sequence[str], dense_labels: int = DENSE_
     the counts, so the predictions are read once.
     """
     size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    listed = label_union(counts, keys).withColumn("k", size).where(F.col("k") <= dense_labels)
-    axes = listed.groupBy(*keys).agg(F.sort_array(F.collect_list("label")).alias("axis"))
+    listed = label_union(counts, keys).withColumn("_size", size).where(F.col("_size") <= dense_labels)
+    axes = listed.groupBy(*keys).agg(F.sort_array(F.collect_list("label")).alias("_axis"))
     zeros = (
-        axes.select(*keys, "axis", F.explode("axis").alias("gold"))
-        .select(*keys, "gold", F.explode("axis").alias("pred"))
+        axes.select(*keys, "_axis", F.explode("_axis").alias("gold"))
+        .select(*keys, "gold", F.explode("_axis").alias("pred"))
         .withColumn("n", F.lit(0).cast("long"))
     )
     cells = counts.select(*keys, "gold", "pred", "n")
