@@ -65,14 +65,18 @@ def load_first(
     raise FileNotFoundError(f"none of {list(paths)} exists")
 
 
+def decoded(uri: Column) -> Column:
+    """File metadata holds URIs; paths are handed to readers as plain text."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def folder_of(depth: int = 1) -> Column:
     """Name of the folder that holds the row's file; ``depth`` 2 is its parent.
 
-    File paths are URIs, so the name is decoded; of ``key=value`` the value is taken.
+    Of ``key=value`` the value is taken.
     """
     part = F.try_element_at(F.split(F.col("_metadata.file_path"), "/"), F.lit(-1 - depth))
-    name = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(name, "^[^=]+=", "")
+    return F.regexp_replace(decoded(part), "^[^=]+=", "")
 
 
 def load_prefix(spark: SparkSession, prefix: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
@@ -132,35 +136,45 @@ def load_parsed_runs(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("lora_rank", F.col("lora_rank").cast("int"))
 
 
-def load_histories(spark: SparkSession, folder: str) -> DataFrame:
+def _read_histories(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    raw = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("pathGlobFilter", "*.csv")
+        .option("ignoreCorruptFiles", True)
+        .csv(paths)
+    )
+    types = {schemas.STEP_COLUMN: "long", **{c: "double" for c in schemas.LOSS_COLUMNS}}
+    typed = {c: quoted(c).try_cast(t) for c, t in types.items() if c in columns}
+    run = F.regexp_replace(decoded(F.col("_metadata.file_name")), "\\.csv$", "")
+    return nan_to_null(raw.withColumn("name", run).withColumns(typed))
+
+
+def load_histories(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All ``{run}.csv`` histories of a folder in one table with the run's ``name``.
 
-    Files may differ in columns and their order, so files are grouped by their
-    header line; each group is one CSV scan with that header as its schema, and
-    the groups are united by column name.  Only the distinct headers and the
-    file list reach the driver.
+    With ``columns`` all files are known to hold these columns in this order:
+    one scan.  Otherwise files may differ, so they are first grouped by their
+    header, which is the line with a ``_step`` cell; each group is a scan of
+    its own and the groups are united by column name.  Only the distinct
+    headers and the file names reach the driver.
     """
-    files = spark.read.text(f"{folder.rstrip('/')}/*.csv", wholetext=True)
-    header = F.regexp_replace(F.substring_index("value", "\n", 1), "\r$", "")
+    if columns:
+        return _read_histories(spark, folder, columns)
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    cells = F.transform(F.split("value", ","), lambda c: F.btrim(c, F.lit(' "\r')))
     groups = (
-        files.select(header.alias("header"), F.col("_metadata.file_path").alias("path"))
-        .where(F.col("header") != "")
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
-        .orderBy("header")
+        lines.select(cells.alias("columns"), decoded(F.col("_metadata.file_path")).alias("path"))
+        .where(F.array_contains("columns", schemas.STEP_COLUMN))
+        .groupBy("columns")
+        .agg(F.collect_set("path").alias("paths"))
+        .orderBy("columns")
         .collect()
     )
     if not groups:
         raise FileNotFoundError(f"no histories in {folder}")
-    frames = []
-    for group in groups:
-        columns = [c.strip().strip('"') for c in group["header"].split(",")]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        raw = spark.read.schema(schema).option("header", True).option("ignoreCorruptFiles", True).csv(group["paths"])
-        typed = {schemas.STEP_COLUMN: "long", **{c: "double" for c in schemas.LOSS_COLUMNS}}
-        casts = {c: quoted(c).try_cast(t) for c, t in typed.items() if c in columns}
-        run = F.regexp_replace("_metadata.file_name", "\\.csv$", "")
-        frames.append(nan_to_null(raw.withColumn("name", run).withColumns(casts)))
+    frames = [_read_histories(spark, sorted(group["paths"]), group["columns"]) for group in groups]
     return schemas.union_all(frames, allow_missing=True)
 
 
@@ -199,7 +213,7 @@ def load_adapters(spark: SparkSession, grid_dir: str) -> DataFrame:
     if not exists(spark, pattern):
         return spark.createDataFrame([], f"path string, {schemas.ADAPTER_CONFIG}")
     configs = spark.read.schema(schemas.ADAPTER_CONFIG).json(pattern, multiLine=True)
-    path = F.regexp_replace("_metadata.file_path", "/adapter_config\\.json$", "")
+    path = F.regexp_replace(decoded(F.col("_metadata.file_path")), "/adapter_config\\.json$", "")
     return configs.select(path.alias("path"), "base_model_name_or_path", "r")
 
 

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelab.schemas import LOSS_COLUMNS, STEP_COLUMN, nan_to_null, quoted
+from tunelab.sources.readers import decoded
 
 
 def history_stream(spark: SparkSession, folder: str, losses: Sequence[str] = LOSS_COLUMNS[:1]) -> DataFrame:
     """New ``{run}.csv`` files with the columns ``_step`` and the losses, in this order."""
     schema = ", ".join([f"`{STEP_COLUMN}` long", *[f"`{c}` double" for c in losses]])
     files = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").csv(folder)
-    run = F.regexp_replace("_metadata.file_name", "\\.csv$", "")
+    run = F.regexp_replace(decoded(F.col("_metadata.file_name")), "\\.csv$", "")
     return nan_to_null(files.withColumn("name", run).select("name", quoted(STEP_COLUMN), *map(quoted, losses)))
 
 
