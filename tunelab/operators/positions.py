@@ -10,20 +10,26 @@ shuffled or sorted.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunelab.schemas import quoted
 from tunelab.session import scratch_dir
 
 
+# monotonically_increasing_id() is the partition number and, in the low bits,
+# the number of the row within its partition.
+ROW_BITS = 33
+
+
 @dataclass(frozen=True)
 class KeyIndex:
-    """Range-partitioned keys with the first position of each partition."""
+    """Keys in order with an ``id`` each, and the first position of each partition."""
 
     keys: DataFrame
     parts: list[int]
@@ -35,41 +41,32 @@ class KeyIndex:
 
     def at(self, positions: Sequence[int]) -> list:
         """The key at each position, ``0 <= position < total``."""
-        wanted = {}
-        slot = 0
-        for position in sorted(set(positions)):
-            while position >= self.ends[slot]:
-                slot += 1
+        ids = []
+        for position in positions:
+            slot = bisect_right(self.ends, position)
             start = self.ends[slot - 1] if slot else 0
-            wanted[position] = (self.parts[slot], position - start + 1)
-        if not wanted:
-            return []
-        place = F.row_number().over(Window.partitionBy("part").orderBy("key"))
-        pairs = F.array(*[F.struct(F.lit(part).alias("part"), F.lit(n).alias("place")) for part, n in wanted.values()])
-        found = (
-            self.keys.where(F.col("part").isin(sorted({part for part, _ in wanted.values()})))
-            .withColumn("place", place)
-            .where(F.array_contains(pairs, F.struct("part", "place")))
-            .collect()
-        )
-        by_place = {(row["part"], row["place"]): row["key"] for row in found}
-        return [by_place[wanted[position]] for position in positions]
+            ids.append((self.parts[slot] << ROW_BITS) + position - start)
+        found = {row["id"]: row["key"] for row in self.keys.where(F.col("id").isin(ids)).collect()} if ids else {}
+        return [found[i] for i in ids]
 
 
 def key_index(df: DataFrame, key: str) -> KeyIndex:
     """Order the keys of ``df``.
 
-    The partitioned keys are written to the shared scratch folder, so counts
-    and ranks see the same partitions even when an executor is lost.  The
-    driver gets one count per partition, never the keys.
+    The keys are range-partitioned, sorted within their partitions, numbered,
+    and written to the shared scratch folder, so that their numbers stay the
+    same even when an executor is lost.  The driver gets one count per
+    partition, never the keys.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "keys")
-    ranged = df.select(quoted(key).alias("key")).repartitionByRange("key")
-    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    # A given number of partitions is not merged again, so no task sorts much.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select(quoted(key).alias("key")).repartitionByRange(parts, "key").sortWithinPartitions("key")
+    ranged.withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
     keys = spark.read.parquet(path)
     counted = (
-        keys.groupBy("part")
+        keys.groupBy(F.shiftright("id", ROW_BITS).alias("part"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("key").isNull()).alias("nulls"))
         .orderBy("part")
         .collect()
@@ -119,20 +116,25 @@ def shard(df: DataFrame, key: str, num_shards: int, index: int) -> DataFrame:
     return _between(df, key, keys, starts[index], starts[index + 1])
 
 
+def _halves(key: Column, firsts: list, low: int, high: int) -> Column:
+    """Shard of a key among shards ``low`` to ``high``, by halving."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high + 1) // 2
+    upper = _halves(key, firsts, middle, high)
+    return F.when(key >= F.lit(firsts[middle - 1]), upper).otherwise(_halves(key, firsts, low, middle - 1))
+
+
 def with_shard(df: DataFrame, key: str, num_shards: int, out: str = "shard") -> DataFrame:
     """Label each row with its contiguous shard, without moving rows.
 
     ``num_shards`` is the number of workers, so the list of first keys is
-    short; a row's shard is the number of later shards that start at or before
-    it.
+    short.
     """
     check_shard(num_shards, 0)
     keys = key_index(df, key)
-    starts = [p for p in shard_starts(keys.total, num_shards)[1:] if p < keys.total]
-    if not starts:
-        return df.withColumn(out, F.lit(0))
-    firsts = F.array(*map(F.lit, keys.at(starts)))
-    return df.withColumn(out, F.size(F.filter(firsts, lambda first: first <= quoted(key))))
+    firsts = keys.at([p for p in shard_starts(keys.total, num_shards)[1:] if p < keys.total])
+    return df.withColumn(out, _halves(quoted(key), firsts, 0, len(firsts)))
 
 
 def head(df: DataFrame, key: str, n: int = 100) -> DataFrame:
