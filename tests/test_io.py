@@ -239,7 +239,7 @@ def test_benchmark_grid(spark, tmp_path):
 
     def model(paths):
         assert sorted(paths) == ["m1", "m2"]
-        return lambda texts, name: [f"###{'A' if name == 'm1' else 'B'}###" for _ in texts]
+        return lambda name, texts: [f"###{'A' if name == 'm1' else 'B'}###" for _ in texts]
 
     out = jobs.benchmark_grid(spark, job, model)
     results = rows(out["results"], "model_folder", "subset", "correct", "total")

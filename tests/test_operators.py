@@ -234,7 +234,14 @@ def test_first_per_config_and_filter(spark):
     assert sorted(rows(first, "run_id", "method")) == [(2, "lora"), (4, "full")]
     assert rows(runs.filter_runs(known, lora_rank=8, learning_rate=1e-4, state="failed"), "run_id") == [(1,)]
     assert rows(runs.filter_runs(known, model_size="70B"), "run_id") == []
+    losses = spark.createDataFrame([("lr1e-3_r1_full_8B", 0.5)], "name string, final_loss double")
+    assert sorted(rows(runs.with_final_loss(known, losses).fillna(-1.0), "run_id", "final_loss"))[-1] == (4, 0.5)
+    kept = known.withColumn("final_loss", F.lit(7.0))
+    assert {r["final_loss"] for r in runs.with_final_loss(kept, losses).collect()} == {7.0}
     one = runs.summary(known).first()
+    assert one["states"] == {"finished": 3, "failed": 1}
+    none = runs.summary(known.limit(0)).first()
+    assert none["total_runs"] == 0 and none["lora_ranks"] == [] and none["states"] == {}
     assert (one["total_runs"], one["lora_runs"], one["full_ft_runs"], one["lora_ranks"]) == (4, 3, 1, [8])
 
 
@@ -385,15 +392,19 @@ def test_curves_use_first_run_of_each_configuration(spark):
 
 
 def test_batch_generate_keeps_rows_together(spark):
-    df = spark.range(500).selectExpr("id", "concat('p', id) AS prompt").repartition(5)
+    # Large and missing numbers pass unchanged.
+    big = "if(id % 2 = 0, id + 9007199254740993, null) AS big"
+    df = spark.range(500).selectExpr("id", "concat('p', id) AS prompt", big, "array(id) AS ids").repartition(5)
     done = generate.batch_generate(df, lambda: lambda texts: [t[::-1] for t in texts])
     assert all(r["generated_answer"] == r["prompt"][::-1] for r in done.collect())
-    assert done.count() == 500
+    assert done.drop("generated_answer", "generation_seconds").exceptAll(df).isEmpty() and done.count() == 500
+    with pytest.raises(Exception, match="1 texts for"):
+        generate.batch_generate(df, lambda: lambda texts: ["one"]).collect()
 
 
 def test_generate_grid_answers_every_item_once_per_model(spark):
     items = spark.range(40).selectExpr("id AS row_id", "concat('p', id) AS prompt")
-    done = generate.generate_grid(items, ["m1", "m2", "m3"], lambda: lambda texts, m: [f"{m}:{t}" for t in texts])
+    done = generate.generate_grid(items, ["m1", "m2", "m3"], lambda: lambda m, texts: [f"{m}:{t}" for t in texts])
     got = {(r["model_folder"], r["row_id"]): r["generated_text"] for r in done.collect()}
     assert got == {(m, i): f"{m}:p{i}" for m in ("m1", "m2", "m3") for i in range(40)}
 

@@ -9,89 +9,88 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunelab.schemas import quoted
-
 GenerateFn = Callable[[list[str]], list[str]]
 ModelFactory = Callable[[], GenerateFn]
-# model name -> callable: one base model that serves many adapters.
-AdapterFactory = Callable[[], Callable[[list[str], str], list[str]]]
+# Called with a model name and prompts: one base model that serves many adapters.
+AdapterFactory = Callable[[], Callable[[str, list[str]], list[str]]]
 
 OUTPUT_COLUMN = "generated_answer"
 SECONDS_COLUMN = "generation_seconds"
 
 
+def _answered(df: DataFrame, out: str) -> T.StructType:
+    added = [T.StructField(out, T.StringType()), T.StructField(SECONDS_COLUMN, T.DoubleType())]
+    return T.StructType([*df.schema.fields, *added])
+
+
+def _answer(batch: pa.RecordBatch, prompt_col: str, generate: GenerateFn, out: str) -> pa.RecordBatch:
+    """The batch with its texts and each row's share of the wall time; other columns pass as they are."""
+    start = time.perf_counter()
+    texts = generate(batch.column(prompt_col).to_pylist())
+    if len(texts) != batch.num_rows:
+        raise ValueError(f"{len(texts)} texts for {batch.num_rows} prompts")
+    seconds = (time.perf_counter() - start) / batch.num_rows
+    columns = [*batch.columns, pa.array(texts, pa.string()), pa.array([seconds] * batch.num_rows, pa.float64())]
+    return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, out, SECONDS_COLUMN])
+
+
 def batch_generate(
     df: DataFrame, factory: ModelFactory, prompt_col: str = "prompt", out: str = OUTPUT_COLUMN
 ) -> DataFrame:
     """One generated text per prompt, kept in the row of its prompt.
 
-    ``factory`` runs once per task, before its first batch.  Each row also
-    gets its share of its batch's wall time.
+    ``factory`` runs once per task, before its first batch.
     """
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField(out, T.StringType()), T.StructField(SECONDS_COLUMN, T.DoubleType())]
-    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         generate: GenerateFn | None = None
         for batch in batches:
-            if batch.empty:
-                continue
-            generate = generate or factory()
-            start = time.perf_counter()
-            texts = generate(batch[prompt_col].tolist())
-            if len(texts) != len(batch):
-                raise ValueError(f"{len(texts)} texts for {len(batch)} prompts")
-            seconds = (time.perf_counter() - start) / len(batch)
-            yield batch.assign(**{out: texts, SECONDS_COLUMN: seconds})
+            if batch.num_rows:
+                generate = generate or factory()
+                yield _answer(batch, prompt_col, generate, out)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, _answered(df, out))
 
 
-def with_models(items: DataFrame, models: Sequence[str], key: str, splits_per_model: int) -> DataFrame:
+def with_models(items: DataFrame, models: Sequence[str]) -> DataFrame:
     """Each item once per model, laid out so that a task serves few models.
 
-    ``models`` comes from a folder listing.  Items of one model are spread over
-    ``splits_per_model`` groups by their unique key, so a task loads one
-    adapter and no model waits for a single task.
+    ``models`` comes from a folder listing.  ``REBALANCE`` puts the items of a
+    model into partitions of even size: a task loads one adapter, and a model
+    with many items is spread over many tasks.
     """
-    named = items.withColumn("model_folder", F.explode(F.array(*map(F.lit, models))))
-    spread = F.pmod(F.xxhash64(quoted(key)), F.lit(splits_per_model))
-    return named.repartition(len(models) * splits_per_model, "model_folder", spread)
+    return items.withColumn("model_folder", F.explode(F.array(*map(F.lit, models)))).hint("rebalance", "model_folder")
 
 
 def generate_grid(
     items: DataFrame,
     models: Sequence[str],
     factory: AdapterFactory,
-    key: str = "row_id",
     prompt_col: str = "prompt",
     out: str = "generated_text",
-    splits_per_model: int = 8,
 ) -> DataFrame:
     """Answers of every model of a grid to every item."""
-    work = with_models(items, models, key, splits_per_model)
-    schema = T.StructType(
-        [*work.schema.fields, T.StructField(out, T.StringType()), T.StructField(SECONDS_COLUMN, T.DoubleType())]
-    )
+    work = with_models(items, models)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         generate = None
         for batch in batches:
-            for model, part in batch.groupby("model_folder", sort=False):
+            folder = batch.column("model_folder")
+            for model in pc.unique(folder).to_pylist():
                 generate = generate or factory()
-                start = time.perf_counter()
-                texts = generate(part[prompt_col].tolist(), str(model))
-                seconds = (time.perf_counter() - start) / len(part)
-                yield part.assign(**{out: texts, SECONDS_COLUMN: seconds})
+                part = batch.filter(pc.equal(folder, model))
+                yield _answer(part, prompt_col, partial(generate, model), out)
 
-    return work.mapInPandas(run, schema)
+    return work.mapInArrow(run, _answered(work, out))
 
 
 def token_length(text: Column, factory: Callable[[], Callable[[list[str]], list[int]]]) -> Column:

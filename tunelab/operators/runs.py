@@ -70,21 +70,28 @@ def first_per_config(runs: DataFrame, keep: Sequence[str] = ("run_id", "name"))
 
 
 def summary(runs: DataFrame) -> DataFrame:
-    """Totals and the sorted distinct hyper-parameters of the grid runs, in one row."""
-    grid = F.col("is_grid_run")
+    """One row: totals, runs per state, and the sorted distinct hyper-parameters of the grid runs.
 
-    def distinct(column: Column) -> Column:
-        return F.array_sort(F.collect_set(F.when(grid, column)))
-
-    return runs.agg(
-        F.count(F.lit(1)).alias("total_runs"),
-        F.count_if(grid).alias("grid_runs"),
-        F.count_if(grid & (F.col("method") == "lora")).alias("lora_runs"),
-        F.count_if(grid & (F.col("method") == "full")).alias("full_ft_runs"),
-        F.count_if(~grid).alias("other_runs"),
-        distinct(F.col("learning_rate")).alias("learning_rates"),
-        distinct(F.col("lora_rank")).alias("lora_ranks"),
-        distinct(F.col("model_size")).alias("model_sizes"),
+    Counted per state first; the few state rows are then put together.
+    """
+    grid = F.col("is_grid_run")
+    counts = {
+        "total_runs": F.count(F.lit(1)),
+        "grid_runs": F.count_if(grid),
+        "lora_runs": F.count_if(grid & (F.col("method") == "lora")),
+        "full_ft_runs": F.count_if(grid & (F.col("method") == "full")),
+        "other_runs": F.count_if(~grid),
+    }
+    distinct = {"learning_rates": "learning_rate", "lora_ranks": "lora_rank", "model_sizes": "model_size"}
+    per_state = runs.groupBy("state").agg(
+        *[value.alias(name) for name, value in counts.items()],
+        *[F.collect_set(F.when(grid, F.col(column))).alias(name) for name, column in distinct.items()],
+    )
+    states = F.filter(F.collect_list(F.struct("state", "total_runs")), lambda s: s["state"].isNotNull())
+    return per_state.agg(
+        *[F.coalesce(F.sum(name), F.lit(0).cast("long")).alias(name) for name in counts],
+        F.map_from_entries(states).alias("states"),
+        *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name) for name in distinct],
     )
 
 
@@ -117,6 +124,12 @@ def update_final_loss(runs: DataFrame, losses: DataFrame) -> DataFrame:
     return runs.drop("final_loss").join(unique, "name", "left")
 
 
+def with_final_loss(runs: DataFrame, losses: DataFrame) -> DataFrame:
+    """Grid runs with their final loss, which is looked up only when the column is absent."""
+    grid_runs = runs.where("is_grid_run")
+    return grid_runs if "final_loss" in runs.columns else update_final_loss(grid_runs, losses)
+
+
 def attach_metric(runs: DataFrame, values: DataFrame, column: str, on: str = "name") -> DataFrame:
     """Write a metric into every run of that name; other runs keep their value."""
     new = values.select(on, quoted(column).alias("_new"))

@@ -326,7 +326,7 @@ def runs_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def runs_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = runs.summary(all_runs(spark, sf_dir))
+    one = runs.summary(all_runs(spark, sf_dir)).drop("states")
     return one.withColumns(
         {
             "learning_rates": F.array_join(F.transform("learning_rates", names.rate_text), ","),

@@ -8,6 +8,7 @@ them to DataFrames, the SQL side to its registered views.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Run name of a user: rate 1e-3..1e-5, ranks 1..512 or full, 8B or 70B.
 _NAME = """concat('lr1e-', CAST(3 + {u} % 3 AS STRING), '_r',
@@ -128,8 +129,15 @@ def with_clause(names: list[str]) -> str:
     return ",\n".join(f"{name} AS ({VIEWS[name][1]})" for name in names)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the test data.  The tables never change, so a schema is read from its footer once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

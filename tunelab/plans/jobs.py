@@ -17,8 +17,8 @@ from tunelab.operators import checkpoints, generate, grid, history, positions, p
 from tunelab.plans.params import BenchmarkJob, GenerateJob, PrepareJob, ScoreJob
 from tunelab.sources import readers, sinks
 
-# checkpoint paths by model folder -> callable(prompts, model folder)
-GridModel = Callable[[Mapping[str, str]], Callable[[list[str], str], list[str]]]
+# checkpoint paths by model folder -> callable(model folder, prompts)
+GridModel = Callable[[Mapping[str, str]], Callable[[str, list[str]], list[str]]]
 REPORT_NAMES = {0: "Dismissal (0)", 1: "Approval (1)"}
 
 
@@ -95,7 +95,7 @@ def benchmark_grid(spark: SparkSession, job: BenchmarkJob, factory: GridModel) -
         raise ValueError(f"no {job.checkpoint} below {job.grid_dir}")
     paths = {row["model_folder"]: row["checkpoint_path"] for row in found}
     items = benchmark_items(spark, job)
-    answered = generate.generate_grid(items, list(paths), lambda: factory(paths), key=job.key)
+    answered = generate.generate_grid(items, list(paths), lambda: factory(paths))
     keep = [job.key, "model_folder", "subset", generate.SECONDS_COLUMN]
     rows = scoring.choice_predictions(answered, pattern=job.pattern, keep=keep)
     table = f"{job.output.rstrip('/')}/predictions"

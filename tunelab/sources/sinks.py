@@ -11,9 +11,6 @@ from tunelab.operators import runs as run_ops
 from tunelab.operators.checkpoints import CHECKPOINT
 from tunelab.schemas import GRID_RESULT_COLUMNS, quoted
 
-# Tables below are reports: at most one row per run or per (model, subset).
-# They are written as one file because other tools read them by name.
-
 
 def write_dataset(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
@@ -29,7 +26,7 @@ def write_by(df: DataFrame, columns: Sequence[str], path: str, mode: str = "erro
 
 
 def _write_report(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    df.orderBy(*map(quoted, order)).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.orderBy(*map(quoted, order)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def grid_results_path(grid_dir: str, checkpoint: str = CHECKPOINT) -> str:
@@ -54,12 +51,7 @@ def write_parsed_runs(raw_runs: DataFrame, path: str) -> None:
 
 def write_summary(runs: DataFrame, path: str) -> None:
     """Run totals, state counts and distinct parameters as one JSON object."""
-    states = runs.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
-    # One row per state and one row of totals: joined on a constant key.
-    table = states.agg(F.map_from_entries(F.collect_list(F.struct("state", "n"))).alias("states"))
-    one = F.lit(1).alias("_one")
-    joined = run_ops.summary(runs).select("*", one).join(table.select("*", one), "_one").drop("_one")
-    joined.coalesce(1).write.mode("overwrite").json(path)
+    run_ops.summary(runs).write.mode("overwrite").json(path)
 
 
 def write_inventory(stats: DataFrame, path: str, at: Column | None = None) -> None:
@@ -69,7 +61,7 @@ def write_inventory(stats: DataFrame, path: str, at: Column | None = None) -> No
     wide = stats.groupBy().agg(
         *[F.first(F.when(F.col("kind") == k, counts), ignorenulls=True).alias(f"{k}_runs") for k in ("grid", "other")]
     )
-    wide.select(stamp.alias("download_date"), "*").coalesce(1).write.mode("overwrite").json(path)
+    wide.select(stamp.alias("download_date"), "*").write.mode("overwrite").json(path)
 
 
 def write_metrics(tables: Mapping[str, DataFrame], path: str, keys: Sequence[str] = ("model_folder", "subset")) -> None:
