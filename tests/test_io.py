@@ -215,7 +215,8 @@ def test_generate_then_score(spark, dataset, tmp_path):
     out = str(tmp_path / "out")
     job = GenerateJob(f"{dataset}/all", out, strategy="swiss_judgement_prediction", start=1, end=4)
 
-    def load():
+    def load(asked):
+        assert asked.max_new_tokens == 200 and asked.temperature == 0.0
         return lambda texts: ["approval" if "case 17" in t or "case 18" in t else "?" for t in texts]
 
     done = jobs.generate_answers(spark, job, load)
@@ -237,8 +238,8 @@ def test_benchmark_grid(spark, tmp_path):
         str(tmp_path / "items"), str(tmp_path / "grid"), str(tmp_path / "out"), ("mcq_4_choices", "mcq_8_choices")
     )
 
-    def model(paths):
-        assert sorted(paths) == ["m1", "m2"]
+    def model(asked, paths):
+        assert sorted(paths) == ["m1", "m2"] and asked.max_lora_rank == 512
         return lambda name, texts: [f"###{'A' if name == 'm1' else 'B'}###" for _ in texts]
 
     out = jobs.benchmark_grid(spark, job, model)

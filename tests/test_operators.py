@@ -168,6 +168,23 @@ def test_text_keys_and_nulls(spark):
         positions.slice_rows(df.union(spark.createDataFrame([(None,)], "k string")), "k", 0, 2)
 
 
+def test_key_of_several_columns(spark):
+    pairs = [(a, b) for a in range(9) for b in "xyz"]
+    df = spark.createDataFrame(random.Random(4).sample(pairs, 27), "a int, b string")
+    assert rows(positions.slice_rows(df, ["a", "b"], 4, 20).orderBy("a", "b")) == pairs[4:20]
+    labelled = {(r["a"], r["b"]): r["shard"] for r in positions.with_shard(df, ["a", "b"], 4).collect()}
+    want = {pairs[i]: n for n, part in enumerate(np.array_split(range(27), 4)) for i in part}
+    assert labelled == want
+    assert rows(positions.head(df, ["a", "b"], 5).orderBy("a", "b")) == pairs[:5]
+
+
+def test_shared_limit_is_refused(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")
+    with pytest.raises(ValueError, match="unique"):
+        positions.slice_rows(df, "k", 0, 2)
+    assert sorted(r["k"] for r in positions.slice_rows(df, "k", 0, 3).collect()) == [1, 2, 2]
+
+
 def test_slice_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).write.parquet(path)

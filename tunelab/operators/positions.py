@@ -1,7 +1,7 @@
 """Positional operators: slice, contiguous shards, head.
 
 Rows of a DataFrame have no position, so a position is the rank under a unique
-key.  A global ``row_number`` would put all rows through one task.  Instead
+key of one or several columns.  A global ``row_number`` would put all rows through one task.  Instead
 only the key column is range-partitioned and counted, and the few keys that
 sit at the wanted positions are looked up.  The rows themselves are then
 picked with a plain key filter, which reaches the Parquet scan; they are never
@@ -13,9 +13,11 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tunelab.schemas import quoted
@@ -27,6 +29,30 @@ from tunelab.session import scratch_dir
 ROW_BITS = 33
 
 
+Key = str | Sequence[str]
+
+
+def _columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _key(key: Key) -> Column:
+    """The key of a row: a column, or several compared from the left."""
+    names = _columns(key)
+    return quoted(names[0]) if len(names) == 1 else F.struct(*map(quoted, names))
+
+
+def _literal(value) -> Column:
+    """A key read back from the index as a constant."""
+    if isinstance(value, Row):
+        return F.struct(*[F.lit(v).alias(name) for name, v in value.asDict().items()])
+    return F.lit(value)
+
+
+def _first_column(value):
+    return value[0] if isinstance(value, Row) else value
+
+
 @dataclass(frozen=True)
 class KeyIndex:
     """Keys in order with an ``id`` each, and the first position of each partition."""
@@ -46,11 +72,17 @@ class KeyIndex:
             slot = bisect_right(self.ends, position)
             start = self.ends[slot - 1] if slot else 0
             ids.append((self.parts[slot] << ROW_BITS) + position - start)
-        found = {row["id"]: row["key"] for row in self.keys.where(F.col("id").isin(ids)).collect()} if ids else {}
-        return [found[i] for i in ids]
+        if not ids:
+            return []
+        found = {row["id"]: row["key"] for row in self.keys.where(F.col("id").isin(ids)).collect()}
+        limits = [found[i] for i in ids]
+        # A limit shared by several rows would put them all on one side of it.
+        if self.keys.where(F.col("key").isin(*map(_literal, limits))).count() > len(set(ids)):
+            raise ValueError("the key is not unique and cannot cut the rows here")
+        return limits
 
 
-def key_index(df: DataFrame, key: str) -> KeyIndex:
+def key_index(df: DataFrame, key: Key) -> KeyIndex:
     """Order the keys of ``df``.
 
     The keys are range-partitioned, sorted within their partitions, numbered,
@@ -62,36 +94,43 @@ def key_index(df: DataFrame, key: str) -> KeyIndex:
     path = scratch_dir(spark, "keys")
     # A given number of partitions is not merged again, so no task sorts much.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.select(quoted(key).alias("key")).repartitionByRange(parts, "key").sortWithinPartitions("key")
-    ranged.withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
+    missing = reduce(or_, [quoted(name).isNull() for name in _columns(key)])
+    ranged = df.select(_key(key).alias("key"), missing.alias("missing")).repartitionByRange(parts, "key")
+    ranged.sortWithinPartitions("key").withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
     keys = spark.read.parquet(path)
     counted = (
         keys.groupBy(F.shiftright("id", ROW_BITS).alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("key").isNull()).alias("nulls"))
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_or("missing").alias("missing"))
         .orderBy("part")
         .collect()
     )
-    if any(row["nulls"] for row in counted):
+    if any(row["missing"] for row in counted):
         raise ValueError(f"{key} holds nulls and cannot order the rows")
     return KeyIndex(keys, [row["part"] for row in counted], list(accumulate(row["n"] for row in counted)))
 
 
-def _between(df: DataFrame, key: str, index: KeyIndex, start: int, stop: int) -> DataFrame:
+def _between(df: DataFrame, key: Key, index: KeyIndex, start: int, stop: int) -> DataFrame:
+    """Rows from position ``start`` to ``stop``.
+
+    With several key columns the first is tested by itself too: that test
+    reaches the scan.
+    """
     if not 0 <= start <= stop <= index.total:
         raise IndexError(f"slice {start}:{stop} of {index.total} rows")
     if start == stop:
         return df.limit(0)
     inner = [p for p in (start, stop) if 0 < p < index.total]
     limits = dict(zip(inner, index.at(inner)))
+    first = quoted(_columns(key)[0])
     kept = df
     if start in limits:
-        kept = kept.where(quoted(key) >= F.lit(limits[start]))
+        kept = kept.where((first >= F.lit(_first_column(limits[start]))) & (_key(key) >= _literal(limits[start])))
     if stop in limits:
-        kept = kept.where(quoted(key) < F.lit(limits[stop]))
+        kept = kept.where((first <= F.lit(_first_column(limits[stop]))) & (_key(key) < _literal(limits[stop])))
     return kept
 
 
-def slice_rows(df: DataFrame, key: str, start: int = 0, end: int | None = None) -> DataFrame:
+def slice_rows(df: DataFrame, key: Key, start: int = 0, end: int | None = None) -> DataFrame:
     """Rows ``start`` to ``end`` (exclusive) in key order; ``end`` is the row count by default."""
     index = key_index(df, key)
     return _between(df, key, index, start, index.total if end is None else end)
@@ -108,7 +147,7 @@ def check_shard(num_shards: int, index: int) -> None:
         raise ValueError(f"shard {index} of {num_shards} does not exist")
 
 
-def shard(df: DataFrame, key: str, num_shards: int, index: int) -> DataFrame:
+def shard(df: DataFrame, key: Key, num_shards: int, index: int) -> DataFrame:
     """Contiguous shard ``index`` of ``num_shards`` in key order."""
     check_shard(num_shards, index)
     keys = key_index(df, key)
@@ -116,16 +155,16 @@ def shard(df: DataFrame, key: str, num_shards: int, index: int) -> DataFrame:
     return _between(df, key, keys, starts[index], starts[index + 1])
 
 
-def _halves(key: Column, firsts: list, low: int, high: int) -> Column:
+def _halves(key: Column, firsts: list[Column], low: int, high: int) -> Column:
     """Shard of a key among shards ``low`` to ``high``, by halving."""
     if low == high:
         return F.lit(low)
     middle = (low + high + 1) // 2
     upper = _halves(key, firsts, middle, high)
-    return F.when(key >= F.lit(firsts[middle - 1]), upper).otherwise(_halves(key, firsts, low, middle - 1))
+    return F.when(key >= firsts[middle - 1], upper).otherwise(_halves(key, firsts, low, middle - 1))
 
 
-def with_shard(df: DataFrame, key: str, num_shards: int, out: str = "shard") -> DataFrame:
+def with_shard(df: DataFrame, key: Key, num_shards: int, out: str = "shard") -> DataFrame:
     """Label each row with its contiguous shard, without moving rows.
 
     ``num_shards`` is the number of workers, so the list of first keys is
@@ -134,9 +173,9 @@ def with_shard(df: DataFrame, key: str, num_shards: int, out: str = "shard") ->
     check_shard(num_shards, 0)
     keys = key_index(df, key)
     firsts = keys.at([p for p in shard_starts(keys.total, num_shards)[1:] if p < keys.total])
-    return df.withColumn(out, _halves(quoted(key), firsts, 0, len(firsts)))
+    return df.withColumn(out, _halves(_key(key), [*map(_literal, firsts)], 0, len(firsts)))
 
 
-def head(df: DataFrame, key: str, n: int = 100) -> DataFrame:
+def head(df: DataFrame, key: Key, n: int = 100) -> DataFrame:
     """The first ``n`` rows in key order (debug mode)."""
-    return df.orderBy(quoted(key)).limit(n)
+    return df.orderBy(*map(quoted, _columns(key))).limit(n)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunelab.functions import names
-from tunelab.schemas import quoted
+from tunelab.schemas import quoted, union_all
 
 CONFIG_KEYS = ("model_size", "method", "learning_rate", "lora_rank")
 
@@ -160,14 +160,18 @@ def ingest_status(
     if overwrite:
         return incoming.withColumn("status", F.when(F.col(has_history), "downloaded").otherwise("failed"))
     order = F.struct("created_at", "run_id")
-    first = incoming.where(F.col(has_history)).groupBy("name").agg(F.min(order).alias("_first"))
-    marked = mark_members(incoming, ingested, "_stored").join(first, "name", "left")
-    status = (
-        F.when(F.col("_stored") | F.coalesce(order > F.col("_first"), F.lit(False)), "skipped")
-        .when(F.col(has_history), "downloaded")
-        .otherwise("failed")
+    # One row per name tells both, so the incoming runs are joined once and
+    # adaptive execution may split a name that many runs share.
+    stored = ingested.select("name", F.lit(True).alias("_stored"))
+    with_history = incoming.where(F.col(has_history)).select("name", order.alias("_first"))
+    by_name = (
+        union_all([stored, with_history], allow_missing=True)
+        .groupBy("name")
+        .agg(F.coalesce(F.bool_or("_stored"), F.lit(False)).alias("_stored"), F.min("_first").alias("_first"))
     )
-    return marked.withColumn("status", status).drop("_stored", "_first")
+    skipped = F.coalesce(F.col("_stored") | (order > F.col("_first")), F.lit(False))
+    status = F.when(skipped, "skipped").when(F.col(has_history), "downloaded").otherwise("failed")
+    return incoming.join(by_name, "name", "left").withColumn("status", status).drop("_stored", "_first")
 
 
 def ingest_new(incoming: DataFrame, ingested: DataFrame) -> DataFrame:

@@ -32,16 +32,26 @@ def label_answers(df: DataFrame, gen_col: str = "generated_answer", out: str = "
     return df.withColumn(out, prompts.answer_label_of(df, gen_col))
 
 
-def accuracy(df: DataFrame, gold: str = "label", pred: str = "pred", keys: Sequence[str] = ()) -> DataFrame:
-    """Share of right predictions; an unparsed answer is a wrong one."""
-    right = F.sum(is_right(quoted(gold), quoted(pred)).cast("long"))
-    return df.groupBy(*keys).agg((right.cast("double") / F.count(F.lit(1))).alias("accuracy"))
+def accuracy(
+    df: DataFrame, gold: str = "label", pred: str = "pred", keys: Sequence[str] = (), rows: str | None = None
+) -> DataFrame:
+    """Share of right predictions; an unparsed answer is a wrong one.
+
+    With ``rows`` each input row stands for that many (a table of counts).
+    """
+    n = quoted(rows) if rows else F.lit(1).cast("long")
+    right = F.sum(F.when(is_right(quoted(gold), quoted(pred)), n).otherwise(F.lit(0).cast("long")))
+    return df.groupBy(*keys).agg((right.cast("double") / F.sum(n)).alias("accuracy"))
 
 
-def parse_errors(df: DataFrame, pred: str = "pred", keys: Sequence[str] = ()) -> DataFrame:
+def parse_errors(
+    df: DataFrame, pred: str = "pred", keys: Sequence[str] = (), rows: str | None = None
+) -> DataFrame:
     """Rows, unparsed answers and their share in percent (null without rows)."""
-    errors = F.count_if(quoted(pred) == prompts.UNPARSED_LABEL)
-    total = F.count(F.lit(1))
+    none = F.lit(0).cast("long")
+    n = quoted(rows) if rows else F.lit(1).cast("long")
+    errors = F.coalesce(F.sum(F.when(quoted(pred) == prompts.UNPARSED_LABEL, n).otherwise(none)), none)
+    total = F.coalesce(F.sum(n), none)
     percent = F.round(F.try_divide(errors.cast("double"), total) * 100, 2)
     return df.groupBy(*keys).agg(
         total.alias("total_rows"), errors.alias("parse_errors"), percent.alias("parse_error_percent")

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from tunelab import schemas
 from tunelab.operators import checkpoints, generate, grid, history, positions, prep, report, runs, scoring
 from tunelab.plans.params import BenchmarkJob, GenerateJob, PrepareJob, ScoreJob
+from tunelab.session import stored
 from tunelab.sources import readers, sinks
 
-# checkpoint paths by model folder -> callable(model folder, prompts)
-GridModel = Callable[[Mapping[str, str]], Callable[[str, list[str]], list[str]]]
+# Both get the job, which holds the sampling limits; a grid model also gets the
+# checkpoint path of each model folder and is called with a folder and prompts.
+Model = Callable[[GenerateJob], generate.GenerateFn]
+GridModel = Callable[[BenchmarkJob, Mapping[str, str]], Callable[[str, list[str]], list[str]]]
 REPORT_NAMES = {0: "Dismissal (0)", 1: "Approval (1)"}
 
 
@@ -37,14 +40,14 @@ def prepare_training(spark: SparkSession, job: PrepareJob) -> DataFrame:
     return strategy(df)
 
 
-def generate_answers(spark: SparkSession, job: GenerateJob, factory: generate.ModelFactory) -> DataFrame:
+def generate_answers(spark: SparkSession, job: GenerateJob, model: Model) -> DataFrame:
     """Generate one answer per row of a slice, write the rows, and read them back."""
     strategy = prep.pick_strategy(prep.INFERENCE_STRATEGIES, job.strategy)
     df = readers.load_dataset(spark, job.dataset, job.config, job.split)
     if job.start or job.end is not None:
         df = positions.slice_rows(df, job.key, job.start, job.end)
     columns = df.columns
-    done = generate.batch_generate(strategy(df, job.input_col), factory, "prompt", job.output_col)
+    done = generate.batch_generate(strategy(df, job.input_col), lambda: model(job), "prompt", job.output_col)
     sinks.write_dataset(done.select(*map(schemas.quoted, columns), schemas.quoted(job.output_col)), job.output)
     return spark.read.parquet(job.output)
 
@@ -52,14 +55,15 @@ def generate_answers(spark: SparkSession, job: GenerateJob, factory: generate.Mo
 def score_answers(spark: SparkSession, job: ScoreJob) -> dict[str, DataFrame]:
     """Accuracy, parse errors and classification report of generated answers.
 
-    All three are worked out from one count per (label, prediction).
+    The answers are read once, for one count per (label, prediction); all three
+    tables are worked out from the stored counts.
     """
     df = readers.load_results(spark, job.dataset, job.from_disk, job.multi_folder, job.split)
     judged = scoring.label_answers(df, job.gen_col)
-    counts = scoring.label_counts(judged, job.label_col, "pred")
+    counts = stored(scoring.label_counts(judged, job.label_col, "pred"), "label_counts")
     return {
-        "accuracy": scoring.accuracy(judged, job.label_col),
-        "parse_errors": scoring.parse_errors(judged),
+        "accuracy": scoring.accuracy(counts, "gold", "pred", rows="n"),
+        "parse_errors": scoring.parse_errors(counts, rows="n"),
         "report": scoring.class_report(counts, classes=[0, 1], names=REPORT_NAMES),
     }
 
@@ -67,7 +71,7 @@ def score_answers(spark: SparkSession, job: ScoreJob) -> dict[str, DataFrame]:
 def score_runs(spark: SparkSession, parent: str, known: DataFrame) -> dict[str, DataFrame]:
     """Accuracy of all ``group/run`` results, written onto the runs of the same name."""
     results = scoring.label_answers(readers.load_run_results(spark, parent))
-    by_run = scoring.accuracy(results, keys=["run_group", "run_name"])
+    by_run = stored(scoring.accuracy(results, keys=["run_group", "run_name"]), "run_accuracy")
     # The same run name may occur in two groups; the last group by name wins.
     values = by_run.groupBy("run_name").agg(F.max_by("accuracy", "run_group").alias("eval_accuracy"))
     values = values.withColumnRenamed("run_name", "name")
@@ -87,7 +91,7 @@ def benchmark_items(spark: SparkSession, job: BenchmarkJob) -> DataFrame:
     return schemas.union_all(frames, allow_missing=True)
 
 
-def benchmark_grid(spark: SparkSession, job: BenchmarkJob, factory: GridModel) -> dict[str, DataFrame]:
+def benchmark_grid(spark: SparkSession, job: BenchmarkJob, model: GridModel) -> dict[str, DataFrame]:
     """Every model of a grid on every item: predictions, results, reports, leaderboard."""
     listing = readers.list_checkpoints(spark, job.grid_dir)
     found = checkpoints.discover(listing, job.checkpoint, job.single_model).collect()
@@ -95,7 +99,7 @@ def benchmark_grid(spark: SparkSession, job: BenchmarkJob, factory: GridModel) -
         raise ValueError(f"no {job.checkpoint} below {job.grid_dir}")
     paths = {row["model_folder"]: row["checkpoint_path"] for row in found}
     items = benchmark_items(spark, job)
-    answered = generate.generate_grid(items, list(paths), lambda: factory(paths))
+    answered = generate.generate_grid(items, list(paths), lambda: model(job, paths))
     keep = [job.key, "model_folder", "subset", generate.SECONDS_COLUMN]
     rows = scoring.choice_predictions(answered, pattern=job.pattern, keep=keep)
     table = f"{job.output.rstrip('/')}/predictions"
@@ -103,7 +107,7 @@ def benchmark_grid(spark: SparkSession, job: BenchmarkJob, factory: GridModel) -
 
     predictions = spark.read.parquet(table)
     keys = ["model_folder", "subset"]
-    counts = scoring.label_counts(predictions, "gold", "prediction", keys)
+    counts = stored(scoring.label_counts(predictions, "gold", "prediction", keys), "label_counts")
     results = scoring.grid_results(predictions, job.checkpoint, keys, F.col(generate.SECONDS_COLUMN))
     return {
         "predictions": predictions,

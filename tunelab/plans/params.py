@@ -57,6 +57,8 @@ class BenchmarkJob:
     checkpoint: str = CHECKPOINT
     single_model: str | None = None
     key: str = "row_id"
+    max_new_tokens: int = 2048
+    temperature: float = 0.0
     max_lora_rank: int = 512
 
     def __post_init__(self) -> None:

@@ -55,12 +55,11 @@ def load_dataset(
 def load_first(
     spark: SparkSession, paths: Sequence[str], config: str | None = None, split: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """The first of several sources that exists."""
+    """The first of several sources that exists, with its ``config`` folder if it has one."""
     for path in paths:
-        full = f"{path.rstrip('/')}/{config}" if config else path
-        if exists(spark, full):
+        if config and exists(spark, f"{path.rstrip('/')}/{config}"):
             return load_dataset(spark, path, config, split, fmt)
-        if config and path == paths[-1] and exists(spark, path):
+        if exists(spark, path):
             return load_dataset(spark, path, None, split, fmt)
     raise FileNotFoundError(f"none of {list(paths)} exists")
 
