@@ -38,9 +38,10 @@ def length_histogram(df: DataFrame, keys: Sequence[str], length: str = "length",
     worked out on that small table.  All bins are listed, empty ones too.  With
     one distinct length the range is half a unit to either side.
     """
-    counted = df.groupBy(*keys, F.col(length).cast("double").alias("x")).agg(F.count(length).alias("n")).where("n > 0")
+    counted = df.groupBy(*keys, length).agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.select(*keys, F.col(length).cast("double").alias("x"), "n")
     group = Window.partitionBy(*keys)
-    limits = counted.withColumns({"lo": F.min("x").over(group), "hi": F.max("x").over(group)})
+    limits = counted.withColumns({"lo": F.min("x").over(group), "hi": F.max("x").over(group)}).where("x is not null")
     flat = F.col("lo") == F.col("hi")
     limits = limits.withColumns(
         {

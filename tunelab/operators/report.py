@@ -263,10 +263,14 @@ def unpivot_benchmark(
     matches ``lr.*lora_{m}``, and the columns those that name the model and the
     subset's accuracy.  A row may serve both models.
     """
-    metrics = [f"`{c}`" for c in wide.columns if f"{subset}/accuracy" in c]
+    metrics = [c for c in wide.columns if f"{subset}/accuracy" in c]
     if not metrics:
         raise ValueError(f"no accuracy column of {subset}")
-    long = wide.unpivot(["name"], metrics, "metric", "accuracy").withColumn("accuracy", F.col("accuracy").cast("double"))
+    # One map per row, unfolded: cheaper to plan and to run than one projection
+    # per column, since there is a column per model folder.
+    values = F.array(*map(quoted, metrics)).cast("array<double>")
+    table = F.map_from_arrays(F.array(*map(F.lit, metrics)), values)
+    long = wide.select("name", F.explode(table).alias("metric", "accuracy"))
     fits = [
         F.when(
             F.coalesce(
