@@ -92,10 +92,8 @@ def key_index(df: DataFrame, key: Key) -> KeyIndex:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "keys")
-    # A given number of partitions is not merged again, so no task sorts much.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     missing = reduce(or_, [quoted(name).isNull() for name in _columns(key)])
-    ranged = df.select(_key(key).alias("key"), missing.alias("missing")).repartitionByRange(parts, "key")
+    ranged = df.select(_key(key).alias("key"), missing.alias("missing")).repartitionByRange("key")
     ranged.sortWithinPartitions("key").withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
     keys = spark.read.parquet(path)
     counted = (
