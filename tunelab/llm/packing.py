@@ -115,7 +115,7 @@ def cutting_stock(demand: dict[int, int], room: int, gap: float = 1e-3, most: in
     """Patterns with the number of times each is used: together they hold every size as often as demanded.
 
     The linear program over patterns is solved by column generation (revised simplex; the knapsack prices new
-    columns) until the bound of the prices is within ``gap`` or half a sequence.  Uses are rounded down; what
+    columns) until the bound of the prices or the progress of a round is within ``gap``.  Uses are rounded down; what
     is then left, a few items per row of the program, goes first-fit by falling size.
     """
     sizes = np.array(sorted(s for s, n in demand.items() if n > 0 and 0 < s <= room))
@@ -124,17 +124,21 @@ def cutting_stock(demand: dict[int, int], room: int, gap: float = 1e-3, most: in
     need = np.array([demand[s] for s in sizes], dtype=float)
     basis = np.diag(np.floor(room / sizes))
     inverse = np.diag(1 / np.diag(basis))
-    uses = inverse @ need
+    uses, before = inverse @ need, np.inf
     for step in range(most):
-        if step % 200 == 199:
+        total = uses.sum()
+        if step % 250 == 249:
+            if before - total < gap * total:
+                break
+            before = total
+        if step % 1000 == 999:
             inverse = np.linalg.inv(basis)
             uses = inverse @ need
-        price = inverse.sum(axis=0)
-        best, column = best_pattern(price, sizes, room)
-        total = uses.sum()
+        best, column = best_pattern(inverse.sum(axis=0), sizes, room)
         if best <= 1 + 1e-9 or total - total / best < max(0.5, gap * total):
             break
-        change = inverse @ column
+        held = np.flatnonzero(column)
+        change = (inverse[:, held] * column[held]).sum(axis=1)
         ratio = np.where(change > 1e-10, np.maximum(uses, 0) / np.where(change > 1e-10, change, 1), np.inf)
         out = int(ratio.argmin())
         uses = uses - ratio[out] * change
