@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelab.llm import line_dedup, mixing, packing, simhash
+from tunelab.llm import line_dedup, mixing, packing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -34,6 +38,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
 }
 

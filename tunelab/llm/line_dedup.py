@@ -26,7 +26,22 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     share is spread over all tasks; the keys to drop are written, and the join against them is split where
     it is skewed.  Texts move once, to meet the positions they lose.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("same", F.xxhash64("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return _without_lines(texts, min_chars, min_docs)
+
+
+def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with the texts of :func:`line_dedup`, and ``n_chars``, where there is one, their new length."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.struct(*others or ["doc_id"]).alias("others"))
+    found = _without_lines(texts, min_chars, min_docs)
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return found.select(*[new.get(c, F.col("others").getField(c)).alias(c) for c in docs.columns])
+
+
+def _without_lines(texts: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    others = [c for c in texts.columns if c not in ("doc_id", "text")]
+    texts = texts.withColumn("same", F.xxhash64("text"))
     lines = texts.select("doc_id", "same", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.withColumn("key", F.translate(F.btrim("line", F.lit(SPACES)), UPPER, LOWER))
     lines = lines.where(F.char_length("key") >= min_chars).withColumn("key", F.unhex(F.md5("key")))
@@ -46,4 +61,5 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         F.size(parts).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
+        *others,
     )

@@ -44,15 +44,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, bloc
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) of whole texts; A-Z are lower-cased, words are runs without ASCII white space."""
+    """(doc_id, same, fp) of whole texts; A-Z are lower-cased, words are runs without ASCII white space.
+
+    ``same`` is a hash of the text, which tells rows of one doc_id apart.
+    """
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text.as_py(), shingle, seed) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.int64())], names=["doc_id", "same", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same")).mapInArrow(run, "doc_id long, same long, fp long")
 
 
 def _steps(radius: int) -> list[list[int]]:
@@ -127,11 +130,39 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
     each of them holds; a null doc_id is returned and linked, and its component is the smallest doc_id that
     is not null (null if there is none).  An empty table gives an empty one; other columns are ignored.
     """
+    return _grouped(docs, shingle, radius, seed).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, radius: int, seed: int) -> DataFrame:
     found = stored(fingerprints(docs, shingle, seed), "fingerprints")
     classes = stored(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes, radius), "a", "b")
     member = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     member = stored(member, "members")
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(member.join(least, "root").select("fp", "component_id"), "named")
-    return found.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stored(member.join(least, "root").select("fp", "root", "component_id"), "named")
+    return found.join(named, "fp")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: that of the smallest doc_id.
+
+    Of rows that repeat it the one with the smallest text hash stays, equal rows become one.  In a group without any
+    doc_id all rows but one go.  Only hashes of the rows that go are joined to the texts.
+    """
+    found = _grouped(docs, shingle, radius, seed).groupBy("component_id", "root", "doc_id", "same").agg(F.count("*").alias("n"))
+    found = stored(found, "grouped")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.groupBy("root").agg(F.min("same").alias("first_same"))
+    judged = found.join(first, "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("same") == F.col("first_same"))
+    judged = judged.select(F.col("doc_id").alias("of_id"), F.col("same").alias("of_same"), stays.alias("stays"), "n")
+    here = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_same"))
+    rest = docs.join(judged.where(~F.col("stays")), here, "left_anti")
+    once = rest.join(judged.where("stays and n = 1"), here, "left_semi")
+    return rest if judged.where("stays and n > 1").isEmpty() else once.union(_one_each(rest.join(judged.where("stays and n > 1"), here, "left_semi")))
+
+
+def _one_each(rows: DataFrame) -> DataFrame:
+    numbered = rows.select(F.struct(*rows.columns).alias("row"), F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("same"))
+    return numbered.dropDuplicates(["id", "same"]).select("row.*")
