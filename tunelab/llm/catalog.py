@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelab.llm import line_dedup, mixing, packing, quality, simhash, topk
+from tunelab.llm import line_dedup, mixing, packing, quality, simhash, topk, wrapper
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_topk": op3_topk,
@@ -45,6 +49,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
+    "op10_extraction": op10_extraction,
 }
 
 ORACLE = {
