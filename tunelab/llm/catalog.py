@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelab.llm import line_dedup, mixing, packing, quality, simhash, topk, wrapper
+from tunelab.llm import embedding_dedup, line_dedup, mixing, packing, quality, simhash, topk, wrapper
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_extraction": op10_extraction,
