@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelab.llm import embedding_dedup, line_dedup, mixing, packing, quality, simhash, topk, wrapper
+from tunelab.llm import embedding_dedup, line_dedup, mixing, packing, quality, secrets, sharding, simhash, topk, wrapper
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk.EVERY == 0)
 
@@ -29,6 +33,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(_table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(_table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    return placed.select("row.doc_id", "slot", "shard")
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -48,9 +57,11 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_secrets": op2_secrets,
     "op3_topk": op3_topk,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op6_sharding": op6_sharding,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
@@ -111,4 +122,8 @@ WITH sized AS (
 SELECT p.doc_id, p.size, b.s AS source_size, b.target,
   (b.e * p.size + greatest(0, least(p.size, b.b - b.e * b.s - p.before)))::BIGINT AS taken
 FROM placed p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source""",
+    # The table itself is filled in turns and tested by brute force; SQL checks every document's slot and shard.
+    "op6_sharding": f"""
+SELECT doc_id, slot, 'shard-' || lpad(string_split('{",".join(map(str, sharding.lookup_table()))}', ',')[slot + 1], 3, '0') AS shard
+FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents)""",
 }
