@@ -22,9 +22,9 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     documents are counted, and each is returned.  Rows without doc_id count as one document, smaller
     than all others.  An empty table gives an empty one; other columns are ignored.
 
-    Keys are 16-byte hashes.  Documents are counted by (key, document) first, so a line that a third of all documents
-    share is spread over all tasks; the keys to drop are written, and the join against them is split where
-    it is skewed.  Texts move once, to meet the positions they lose.
+    Keys are 16-byte hashes, worked out once and written.  Documents are counted by (key, document) first, so a line
+    that a third of all documents share is spread over all tasks; the keys to drop are written, and the join against
+    them is split where it is skewed.  Texts move once, to meet the positions they lose.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return _without_lines(texts, min_chars, min_docs)
@@ -45,7 +45,7 @@ def _without_lines(texts: DataFrame, min_chars: int, min_docs: int) -> DataFrame
     lines = texts.select("doc_id", "same", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.withColumn("key", F.translate(F.btrim("line", F.lit(SPACES)), UPPER, LOWER))
     lines = lines.where(F.char_length("key") >= min_chars).withColumn("key", F.unhex(F.md5("key")))
-    lines = lines.select("doc_id", "same", "pos", "key")
+    lines = stored(lines.select("doc_id", "same", "pos", "key"), "lines")
     holders = lines.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
     shared = holders.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
     shared = stored(shared.where(F.col("n") >= min_docs).select("key", "last"), "shared-lines")
@@ -53,12 +53,12 @@ def _without_lines(texts: DataFrame, min_chars: int, min_docs: int) -> DataFrame
     lost = lost.groupBy("doc_id", "same").agg(F.collect_set("pos").alias("gone"))
     lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("same").alias("lost_same"), "gone")
     joined = texts.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("same") == F.col("lost_same")), "left")
-    parts = F.split("text", "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
+    joined = joined.withColumn("parts", F.split("text", "\n", -1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("parts", i)), "\n")
     return joined.select(
         "doc_id",
-        F.size(parts).cast("long").alias("n_lines"),
+        F.size("parts").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
         *others,
