@@ -122,18 +122,15 @@ def cutting_stock(demand: dict[int, int], room: int, gap: float = 1e-3, most: in
     if not len(sizes):
         return []
     need = np.array([demand[s] for s in sizes], dtype=float)
-    basis = np.diag(np.floor(room / sizes))
-    inverse = np.diag(1 / np.diag(basis))
-    uses, before = inverse @ need, np.inf
+    fit = np.floor(room / sizes)
+    basis, inverse = np.diag(fit), np.diag(1 / fit)
+    uses, before = need / fit, np.inf
     for step in range(most):
         total = uses.sum()
         if step % 250 == 249:
             if before - total < gap * total:
                 break
             before = total
-        if step % 1000 == 999:
-            inverse = np.linalg.inv(basis)
-            uses = inverse @ need
         best, column = best_pattern(inverse.sum(axis=0), sizes, room)
         if best <= 1 + 1e-9 or total - total / best < max(0.5, gap * total):
             break
@@ -148,13 +145,13 @@ def cutting_stock(demand: dict[int, int], room: int, gap: float = 1e-3, most: in
         inverse = inverse - np.outer(change, row)
         inverse[out] = row
     times = np.floor(np.maximum(uses, 0) + 1e-7).astype(int)
-    while (over := basis @ times - need).max() > 0.5:  # only if rounding errors added up
+    while (over := (basis * times).sum(axis=1) - need).max() > 0.5:  # only if rounding errors added up
         times[int(((basis[int(over.argmax())] > 0) * times).argmax())] -= 1
     plan: Counter = Counter()
     for k, n in enumerate(times):
         if n:
             plan[tuple((int(s), int(a)) for s, a in zip(sizes, basis[:, k]) if a)] += int(n)
-    left = need - basis @ times
+    left = need - (basis * times).sum(axis=1)
     bins: list[list[int]] = []
     free: list[int] = []
     for s, n in zip(sizes[::-1].tolist(), np.rint(left[::-1]).astype(int).tolist()):
