@@ -27,7 +27,10 @@ _POWERS = np.cumprod(np.full(256, 0x100000001B3, np.uint64), dtype=np.uint64)
 
 
 def grams(text: str | None) -> Iterator[np.ndarray]:
-    """Symbols of a text, slice by slice: hashed byte 3-grams, and for each word whether it repeats the one before."""
+    """Symbols of a text, slice by slice: hashed byte 3-grams, and for each word whether it repeats the one before.
+
+    Slices end at white space; a word longer than a slice counts as several.
+    """
     data = np.frombuffer((text or "").encode(), np.uint8)
     last = np.zeros(0, np.uint64)
     start = 0

@@ -23,6 +23,8 @@ BANDS = 64
 LEADING = 16
 #: Largest product of two norms at which sums of doubles are exact integers.
 EXACT = float(1 << 53)
+#: Scores are 64-bit numbers; larger ones count as the largest.
+MOST = float(1 << 63)
 
 
 def quantised(vectors: DataFrame, is_query: Column, scale: int = SCALE) -> DataFrame:
@@ -83,8 +85,9 @@ def best_of_block(m: pd.DataFrame, q: pd.DataFrame, turn: np.ndarray, best: int,
             else:
                 whole = [int(x) for x in asked[k]]
                 sums = [sum(int(a) * b for a, b in zip(row, whole)) for row in vectors[at]]
+                sums = [max(-(1 << 63), min((1 << 63) - 1, x)) for x in sums]
                 order = np.array(sorted(range(len(at)), key=lambda i: (-sums[i], ids[at[i]]))[:best], dtype=int)
-                scores = np.array([max(-(1 << 63), min((1 << 63) - 1, x)) for x in sums], dtype=np.int64)
+                scores = np.array(sums, dtype=np.int64)
             found.append(pd.DataFrame({"query_id": np.full(len(order), qids[k]), "vec_id": ids[at[order]], "score": scores[order]}))
     return pd.concat(found)
 
@@ -100,7 +103,7 @@ def first_floors(queries: DataFrame, head: pd.DataFrame, best: int) -> DataFrame
                 scores = np.stack(batch["v"].to_list()) @ vectors.T
                 scores[batch["vec_id"].to_numpy()[:, None] == ids] = -np.inf
                 low = np.partition(scores, -best, axis=1)[:, -best]
-                low = low - 1e-9 * batch["norm"].to_numpy() * head["norm"].max()
+                low = np.minimum(low, MOST) - 1e-9 * batch["norm"].to_numpy() * head["norm"].max()
             yield batch.assign(floor=low)
 
     return queries.mapInPandas(run, "vec_id long, v array<double>, norm double, floor double")
@@ -112,7 +115,7 @@ def top_k(vectors: DataFrame, is_query: Column, best: int = BEST, scale: int = S
     Ties go to the smaller vec_id.  Rows with a query's own vec_id are no candidates.  Null and empty vectors, those with
     null or non-finite components and rows without vec_id take no part; vectors meet queries of their own length.  Each of
     the rows that repeat a vec_id is a candidate; of query rows that repeat one the smallest vector asks.
-    Scores beyond 64 bits are ordered exactly and shown as the largest number.  An empty table gives an empty one.
+    Scores beyond 64 bits count as the largest (or smallest) number.  An empty table gives an empty one.
 
     The query set meets all vectors in blocks.  Vectors are cut into bands of falling norm and, by hash, into blocks of a
     band; queries into blocks by hash; a task compares one block of each.  The longest vectors, a bounded head, first give
