@@ -139,10 +139,31 @@ def test_parsed_choices_as_python_literals(spark):
         return [str(v) for v in value] if isinstance(value, list) else None
 
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*LITERALS, None])], "i int, choices string")
-    rows = df.select("i", prep.parsed_choices(df).alias("c")).orderBy("i").collect()
+    rows = prep.read_literals(df.withColumn("text", F.col("choices"))).orderBy("i").collect()
     want = [read(t) for t in LITERALS] + [None]
     for text, row, expected in zip([*LITERALS, None], rows, want):
-        assert row["c"] == expected, text
+        assert row["choices"] == expected, text
+    # without Python: the same, or null and flagged
+    native = df.select("choices", prep.parsed_choices(df).alias("c"), prep.unread_choices(df).alias("left"), "i")
+    for row, expected in zip(native.orderBy("i").collect(), want):
+        assert row["c"] == expected or (row["c"] is None and row["left"]), row["choices"]
+
+
+@pytest.mark.parametrize(
+    "text", ["['a', 1, None, 2.5, True]", "['it\\'s', \"a \\\"b\\\"\"]", "['a', 'b',]", "[-3, 0, 0.25]", "['back\\\\slash']", "[ 'a' ,'1, 2' ]"]
+)
+def test_choices_read_without_python(spark, text, capsys):
+    df = spark.createDataFrame([(text,)], "choices string")
+    found = df.select(prep.parsed_choices(df).alias("c"))
+    assert found.first()["c"] == [str(x) for x in ast.literal_eval(text)]
+    prep.mcq_prompts(df.withColumns({"question": F.lit("q"), "course": F.lit("c")})).explain()
+    assert "Python" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("text", ["[1e3]", "[01]", "[1_0]", "[[1], 2]", "['a' 'b']", "[1.50]", "[0x1F]", "['a\\n']", "[x]", "[1 2]", "['a',,]", "[,]", "[-0]"])
+def test_choices_left_to_python_are_flagged(spark, text):
+    df = spark.createDataFrame([(text,)], "choices string")
+    assert df.select(prep.parsed_choices(df), prep.unread_choices(df)).first()[0:2] == (None, True)
 
 
 def test_long_choice_list(spark):
@@ -254,16 +275,17 @@ def test_strategies(spark):
         prep.only_split(spark.createDataFrame([("test",)], "split string"), "train")
 
 
-def test_conversation_parts(spark):
+def test_conversations_are_one_row_each(spark):
     turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}:{t}") for c in (1, 2) for t in range(5)]
     random.Random(1).shuffle(turns)
     df = spark.createDataFrame([*turns, (3, 0, "user", None)], "conv_id long, turn long, role string, text string")
     whole = {r["conv_id"]: r for r in prep.conversation_messages(df).collect()}
     assert [m["content"] for m in whole[1]["messages"]] == [f"1:{t}" for t in range(5)]
     assert whole[3]["messages"] == [Row(role="user", content="")]
-    parts = prep.conversation_messages(df, turns_per_row=2).orderBy("conv_id", "part").collect()
-    joined = [m["content"] for r in parts if r["conv_id"] == 2 for m in r["messages"]]
-    assert joined == [f"2:{t}" for t in range(5)] and max(len(r["messages"]) for r in parts) == 2
+    long = spark.range(1500).selectExpr("7 AS conv_id", "id AS turn", "'user' AS role", "cast(id AS string) AS text")
+    sparse = spark.createDataFrame([(8, t, "user", str(t)) for t in (15000, 0, 5000, 10000)], long.schema)
+    rows = {r["conv_id"]: [m["content"] for m in r["messages"]] for r in prep.conversation_messages(long.union(sparse)).collect()}
+    assert rows == {7: [str(t) for t in range(1500)], 8: ["0", "5000", "10000", "15000"]}
 
 
 def test_accuracy_counts_null_as_wrong(spark):

@@ -77,6 +77,11 @@ def test_load_prefix(spark, tmp_path):
         readers.load_prefix(spark, str(tmp_path / "nope"))
     assert readers.load_results(spark, str(tmp_path / "res_a"), from_disk=True).count() == 1
     assert readers.load_results(spark, str(tmp_path / "res_"), multi_folder=True).count() == 2
+    spark.createDataFrame([("z", 1)], "v string, later int").write.parquet(str(tmp_path / "res_z"))
+    found = readers.load_prefix(spark, str(tmp_path / "res_"))
+    assert sorted(rows(found.fillna(0), "v", "later")) == [("res_a", 0), ("res_b", 0), ("z", 1)]
+    with pytest.raises(ValueError, match="missing"):
+        readers.load_results(spark, str(tmp_path / "res_a"), split="test")
 
 
 def test_run_results_skip_incomplete_runs(spark, tmp_path):
@@ -93,6 +98,19 @@ def test_run_results_skip_incomplete_runs(spark, tmp_path):
         readers.load_run_results(spark, str(tmp_path), required=["nope"])
 
 
+def test_run_results_take_as_many_jobs_for_many_runs(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    jobs_of = {}
+    for n in (10, 60):
+        df = spark.range(n * 4).selectExpr("cast(id % 2 AS int) AS label", "'approved' AS generated_answer", f"concat('r', id % {n}) AS run")
+        df.repartition("run").write.partitionBy("run").parquet(str(tmp_path / f"n{n}" / "g"))
+        spark.sparkContext.setJobGroup(f"runs-{n}", "")
+        assert readers.load_run_results(spark, str(tmp_path / f"n{n}")).count() == n * 4
+        jobs_of[n] = len(tracker.getJobIdsForGroup(f"runs-{n}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs_of[60] <= jobs_of[10] + 2
+
+
 def test_parsed_runs(spark, tmp_path):
     path = str(tmp_path / "runs.csv")
     with pytest.raises(FileNotFoundError, match="export"):
@@ -286,3 +304,10 @@ def test_ingest_takes_up_new_histories_only(spark, tmp_path):
     assert run() == first and run() == first
     write(folder / "b.csv", "_step,train/loss\n5,0.1\n")
     assert run() == [*first, ("b", 5, 0.1)]
+
+
+def test_ingest_never_reads_by_position(spark, tmp_path):
+    write(tmp_path / "h" / "a.csv", "train/loss,_step\n0.9,1\n")
+    stream = ingest.history_stream(spark, str(tmp_path / "h"))
+    with pytest.raises(Exception, match="CSV header|_step"):
+        ingest.ingest_histories(stream, str(tmp_path / "table"), str(tmp_path / "state"))

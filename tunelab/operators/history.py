@@ -11,14 +11,16 @@ from tunelab.schemas import LOSS_COLUMNS, STEP_COLUMN, quoted
 
 DIGITS = 8
 TAIL_POINTS = 100
-# Spark cuts row_number() <= n down before the shuffle up to this n by default.
-GROUP_LIMIT = 1000
 TAIL_BUCKETS = 64
 
 
 def _last(column: Column, step: Column) -> Column:
-    """Last non-missing value; combined on the map side, so no run is ever sorted."""
-    return F.max_by(column, F.when(column.isNotNull(), step))
+    """Last non-missing value, combined on the map side.
+
+    A point without step comes before all others; of points with the same step,
+    as a resumed run logs them, the larger value counts.
+    """
+    return F.max_by(column, F.when(column.isNotNull(), F.struct(step, column)))
 
 
 def final_loss(
@@ -65,16 +67,15 @@ def last_points(
 ) -> DataFrame:
     """The last ``n`` points of each run, all if it has fewer.
 
-    Spark keeps only the best ``n`` rows per run in each map task before the
-    shuffle (window group limit), so a run with a third of all points is no hot
-    spot.  That rule has an upper limit for ``n``; beyond it the points are
-    first cut within hash buckets of the step.
+    Points without step come first, equal steps are ordered by the other
+    columns.  The points are cut within hash buckets of a run, then in the run,
+    so a run with a third of all points is no hot spot, whatever ``n``.
     """
-    newest = quoted(step).desc()
+    others = [quoted(c).desc_nulls_last() for c in history.columns if c not in (run, step)]
+    newest = [quoted(step).desc_nulls_last(), *others]
+    bucket = F.pmod(F.xxhash64(*[quoted(c) for c in history.columns if c != run]), F.lit(TAIL_BUCKETS))
     kept = history
-    if n > GROUP_LIMIT:
-        bucket = F.pmod(F.xxhash64(quoted(step)), F.lit(TAIL_BUCKETS))
-        in_bucket = Window.partitionBy(run, bucket).orderBy(newest)
-        kept = kept.withColumn("_place", F.row_number().over(in_bucket)).where(F.col("_place") <= n)
-    in_run = Window.partitionBy(run).orderBy(newest)
-    return kept.withColumn("_place", F.row_number().over(in_run)).where(F.col("_place") <= n).drop("_place")
+    for keys in ([quoted(run), bucket], [quoted(run)]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+        kept = kept.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    return kept

@@ -15,9 +15,6 @@ from tunelab.schemas import quoted
 
 Strategy = Callable[..., DataFrame]
 
-# Longest run of turns written as one training row; see conversation_messages.
-TURNS_PER_ROW = 1024
-
 
 def judgment_messages(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Labelled cases as chat rows; every source column is dropped."""
@@ -95,12 +92,26 @@ def literal_choices(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield series.map(read, na_action="ignore")
 
 
+# One item of a list literal: a quoted text, a constant, or a number that is written the way it prints.
+_QUOTED = r"""\"[^\"\\\x00-\x1f]*+(?:\\[\"'\\][^\"\\\x00-\x1f]*+)*+\"|'[^'\\\x00-\x1f]*+(?:\\[\"'\\][^'\\\x00-\x1f]*+)*+'"""
+_NUMBER = r"-?(?:0|[1-9][0-9]{0,8})\.(?:0|[0-9]{0,3}[1-9])(?![0-9.eEjJ_])|(?:0|-?[1-9][0-9]{0,17})(?![0-9.eEjJ_xXoObB])"
+_ITEM = rf"{_QUOTED}|\b(?:None|True|False)\b|(?<![0-9A-Za-z_.+-])(?:{_NUMBER})"
+
+
+def _is_plain(value: Column) -> Column:
+    """What is left after the items are cut out must be [,,,]."""
+    bare = F.regexp_replace(value, _ITEM, "\u0001")
+    bare = F.regexp_replace(F.regexp_replace(bare, "[ \\t\\r\\n]", ""), "\u0001,(?=[\u0001\\]])", "")
+    return bare.isin("[]", "[\u0001]") | (F.regexp_replace(bare, "\u0001,", "\u0001") == F.lit("[\u0001]"))
+
+
 def parsed_choices(df: DataFrame, name: str = "choices") -> Column:
-    """The choices as ``array<string>``; null when they are not a list.
+    """The choices as ``array<string>``; null when they are no list or not readable.
 
-    A text holding a plain list of quoted strings is read by ``from_json``.
-    Only other texts (escapes, None, numbers, nested values) are handed to
-    Python, and those are read as literals, never evaluated.
+    A text that holds a list of quoted strings (with escaped quotes and
+    backslashes), None, True, False and plain numbers is read by patterns.
+    Other literals, such as nested lists, are flagged by :func:`unread_choices`
+    and left to :func:`read_literals`.
     """
     dtype = df.schema[name].dataType
     value = quoted(name)
@@ -108,13 +119,32 @@ def parsed_choices(df: DataFrame, name: str = "choices") -> Column:
         return value.cast("array<string>")
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("array<string>")
-    # What is left after the quoted strings are cut out must be [,,,].
-    bare = F.regexp_replace(value, "\"[^\"\\\\\\x00-\\x1f]*\"|'[^'\\\\\\x00-\\x1f]*'", "\u0001")
-    bare = F.regexp_replace(F.regexp_replace(bare, "[ \\t\\r\\n]", ""), "\u0001,(?=\u0001)", "")
-    plain = bare.isin("[]", "[\u0001]")
-    fast = F.when(plain, F.from_json(value, "array<string>"))
-    slow = F.pandas_udf(literal_choices, "array<string>")(F.when(~plain, value))
-    return F.coalesce(fast, slow)
+
+    def text(item: Column) -> Column:
+        inner = F.regexp_replace(F.substring(item, 2, 1 << 30), ".$", "")
+        is_text = F.left(item, F.lit(1)).isin("'", '"')
+        return F.when(is_text, F.regexp_replace(inner, "(?s)\\\\(.)", "$1")).otherwise(item)
+
+    return F.when(_is_plain(value), F.transform(F.regexp_extract_all(value, F.lit(f"(?s){_ITEM}"), 0), text))
+
+
+def unread_choices(df: DataFrame, name: str = "choices") -> Column:
+    """Whether the choices are a text that looks like a list but is not read by :func:`parsed_choices`."""
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.lit(False)
+    return F.coalesce(quoted(name).rlike(r"^\s*\[") & ~_is_plain(quoted(name)), F.lit(False))
+
+
+def read_literals(df: DataFrame, name: str = "choices") -> DataFrame:
+    """Read the choices of all rows; a job of its own for files that may hold unusual literals.
+
+    Only flagged rows go to Python, where they are read as literals, never evaluated.
+    """
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return df.withColumn(name, parsed_choices(df, name))
+    flagged = unread_choices(df, name)
+    plain = df.where(~flagged).withColumn(name, parsed_choices(df, name))
+    return plain.unionByName(df.where(flagged).withColumn(name, F.pandas_udf(literal_choices, "array<string>")(quoted(name))))
 
 
 def mcq_prompts(df: DataFrame, choices_col: str = "choices", out: str = "prompt") -> DataFrame:
@@ -130,26 +160,15 @@ def mcq_prompts(df: DataFrame, choices_col: str = "choices", out: str = "prompt"
 
 
 def conversation_messages(
-    df: DataFrame,
-    keys: Sequence[str] = ("conv_id",),
-    turn: str = "turn",
-    role: str = "role",
-    content: str = "text",
-    turns_per_row: int = TURNS_PER_ROW,
+    df: DataFrame, keys: Sequence[str] = ("conv_id",), turn: str = "turn", role: str = "role", content: str = "text"
 ) -> DataFrame:
-    """Conversation turns as ``messages`` rows.
+    """Conversation turns as ``messages``: one row per conversation, however many turns it has.
 
-    A conversation is one row.  One longer than ``turns_per_row`` goes on in
-    further rows (``part`` 1, 2, ...): turns are unique within a conversation,
-    so a group holds at most that many turns however long the conversation.
+    A conversation is one record of the format, so its turns meet in one row.
     """
-    part = F.floor(quoted(turn) / turns_per_row).cast("int").alias("part")
     item = F.struct(
         quoted(turn).alias("turn"), quoted(role).alias("role"), F.coalesce(quoted(content), F.lit("")).alias("content")
     )
     ordered = F.array_sort(F.collect_list(item))
-    return df.groupBy(*keys, part).agg(
-        F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias(
-            "messages"
-        )
-    )
+    messages = F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return df.groupBy(*keys).agg(messages.alias("messages"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tunelab.functions import names
 from tunelab.operators import runs as run_ops
 from tunelab.operators.grid import LEARNING_RATES, MODEL_SIZES
+from tunelab.operators.history import TAIL_POINTS, last_points
 from tunelab.schemas import STEP_COLUMN, quoted
 
 # ---------------------------------------------------------------------------
@@ -56,7 +57,7 @@ def rate_sweep(runs: DataFrame, min_points: Mapping[str, int] | None = None) ->
     """Final loss over learning rate, per (model, method, rank) series.
 
     Series with too few points are left out: by default LoRA needs two, full
-    fine-tuning one.
+    fine-tuning one.  ``place`` is the position of the rate within its series.
     """
     least = min_points or {"lora": 2, "full": 1}
     points = (
@@ -70,7 +71,10 @@ def rate_sweep(runs: DataFrame, min_points: Mapping[str, int] | None = None) ->
         needed = F.when(F.col("method") == method, n).otherwise(needed)
     series = ["model_size", "method", "series_rank"]
     full = points.groupBy(*series).agg(F.count("final_loss").alias("n")).where(F.col("n") >= needed)
-    return points.join(full, series, "left_semi").select(*SERIES, "learning_rate", "final_loss")
+    along = F.row_number().over(Window.partitionBy(*series).orderBy("learning_rate"))
+    places = points.select(*series, "learning_rate").distinct().withColumn("place", along)
+    kept = points.join(full, series, "left_semi").join(places, [*series, "learning_rate"])
+    return kept.select(*SERIES, "learning_rate", "place", "final_loss")
 
 
 def mean_loss(runs: DataFrame) -> DataFrame:
@@ -82,18 +86,11 @@ def mean_loss(runs: DataFrame) -> DataFrame:
     )
 
 
-def heatmap(
-    runs: DataFrame, metric: str = "final_loss", rates: Sequence[float] = LEARNING_RATES
-) -> DataFrame:
-    """Mean metric of finished LoRA runs: one row per (model, rank), one column per rate."""
+def heatmap(runs: DataFrame, metric: str = "final_loss") -> DataFrame:
+    """Mean metric of finished LoRA runs per (model, rank, rate): the cells of the map, whatever rates were run."""
     lora = run_ops.filter_runs(runs, method="lora")
-    wide = lora.groupBy("model_size", "lora_rank").pivot("learning_rate", list(rates)).agg(F.avg(metric))
-    columns = wide.columns[2:]
-    return wide.select(
-        "model_size",
-        "lora_rank",
-        *[F.round(quoted(c), DIGITS).alias(f"lr_{rate:.0e}".replace("e-0", "e-")) for c, rate in zip(columns, rates)],
-    )
+    cells = lora.groupBy("model_size", "lora_rank", "learning_rate").agg(F.round(F.avg(metric), DIGITS).alias(metric))
+    return cells.select("model_size", "lora_rank", names.rate_text(F.col("learning_rate")).alias("lr"), metric)
 
 
 def best_rate(runs: DataFrame, by: Sequence[str] = ("model_size", "method")) -> DataFrame:
@@ -188,19 +185,40 @@ def learning_curves(
     history: DataFrame,
     ranks: Mapping[str, Sequence[int]] = CURVE_RANKS,
     rates: Sequence[float] = LEARNING_RATES,
+    pairs: Mapping[float, float] = LORA_TO_FULL_RATE,
     loss: str = "train/loss",
     run: str = "name",
     step: str = STEP_COLUMN,
 ) -> DataFrame:
-    """Loss per step of the representative ranks, per (model, rate)."""
+    """Loss per step of the chosen runs, per panel (model, LoRA rate ``lr``).
+
+    Chosen are the first LoRA run of each representative rank and the first full
+    fine-tuning run at the paired (lower) rate ``run_lr``.
+    """
     listed = F.array_contains(F.try_element_at(_rank_list(ranks), F.col("model_size")), F.col("lora_rank"))
     wanted = F.col("lora_rank").isNotNull() & F.coalesce(listed, F.lit(False)) & F.col("learning_rate").isin(*rates)
-    chosen = _chosen(runs, wanted)
+    lora = _chosen(runs, wanted).withColumn("panel", F.col("learning_rate"))
+    lookup = F.create_map(*[F.lit(v) for pair in pairs.items() for v in pair])
+    panels = lora.select("model_size", "panel", F.try_element_at(lookup, "panel").alias("learning_rate")).distinct()
+    full = run_ops.first_per_config(run_ops.filter_runs(runs, method="full"), keep=("name",))
+    chosen = lora.unionByName(full.join(panels, ["model_size", "learning_rate"]).select(*lora.columns))
     return _with_history(chosen, history, loss, run, step).select(
-        "model_size", names.rate_text(F.col("learning_rate")).alias("lr"), "lora_rank", "name", "step", "loss"
+        "model_size",
+        names.rate_text(F.col("panel")).alias("lr"),
+        "method",
+        "lora_rank",
+        names.rate_text(F.col("learning_rate")).alias("run_lr"),
+        "name",
+        "step",
+        "loss",
     )
 
 
+def curve_tail(curves: DataFrame, n: int = TAIL_POINTS) -> DataFrame:
+    """The last ``n`` points of every chosen run: the inset of the curves."""
+    return last_points(curves, "name", "step", n)
+
+
 def model_comparison(
     runs: DataFrame,
     history: DataFrame,
@@ -246,6 +264,15 @@ def rank_series(task: DataFrame) -> DataFrame:
     return task.where(~is_diverged_cell("lr", "rank")).withColumn("position", F.dense_rank().over(series) - 1)
 
 
+def benchmark_series(merged: DataFrame) -> DataFrame:
+    """Mean benchmark accuracy and loss over the ranks of each (model, rate), with the ``place`` of the rank."""
+    points = merged.groupBy("model_size", "learning_rate", "lora_rank").agg(
+        F.round(F.avg("accuracy"), DIGITS).alias("accuracy"), F.max("final_loss").alias("final_loss")
+    )
+    along = Window.partitionBy("model_size", "learning_rate").orderBy("lora_rank")
+    return points.withColumn("place", F.row_number().over(along))
+
+
 def plateau_gap(task: DataFrame) -> DataFrame:
     """Distance of each rank to the best rank of its (model, rate); one row per point comes in."""
     best = F.max("eval_accuracy").over(Window.partitionBy("model_size", "lr"))

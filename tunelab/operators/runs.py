@@ -131,15 +131,18 @@ def with_final_loss(runs: DataFrame, losses: DataFrame) -> DataFrame:
 
 
 def attach_metric(runs: DataFrame, values: DataFrame, column: str, on: str = "name") -> DataFrame:
-    """Write a metric into every run of that name; other runs keep their value."""
-    new = values.select(on, quoted(column).alias("_new"))
+    """Write a metric into every run of that name; other runs keep their value.
+
+    Of several values for a name the largest counts; the number of runs stays.
+    """
+    new = values.groupBy(on).agg(F.max(quoted(column)).alias("_new"))
     old = quoted(column) if column in runs.columns else F.lit(None).cast("double")
     return runs.join(new, on, "left").withColumn(column, F.coalesce(F.col("_new"), old)).drop("_new")
 
 
 def matched_metrics(runs: DataFrame, values: DataFrame, column: str, on: str = "name") -> DataFrame:
-    """One row per run that a metric was found for."""
-    return runs.join(values.select(on, column), on, "inner")
+    """One row per run that a metric was found for, the largest of several."""
+    return runs.join(values.groupBy(on).agg(F.max(quoted(column)).alias(column)), on, "inner")
 
 
 def unmatched(values: DataFrame, runs: DataFrame, on: str = "name") -> DataFrame:

@@ -14,11 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelab.functions import prompts
-from tunelab.schemas import quoted, union_all
-
-# Up to this many labels in a group the confusion matrix is written with its
-# zero cells; beyond, only the cells that occur (all others are zero).
-DENSE_LABELS = 1000
+from tunelab.schemas import quoted
 
 DIGITS = 10
 
@@ -60,11 +56,8 @@ def parse_errors(
 
 def label_counts(df: DataFrame, gold: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows per (keys, gold, pred): the only step that reads all predictions."""
-    return (
-        df.groupBy(*keys, quoted(gold).alias("gold"), quoted(pred).alias("pred"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 0")
-    )
+    by = [*keys, quoted(gold).alias("gold"), quoted(pred).alias("pred")]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _per_class(counts: DataFrame, keys: Sequence[str], classes: Sequence | None) -> DataFrame:
@@ -123,12 +116,13 @@ def class_report(
     ``classes`` fixes the reported classes; without it they are all labels seen
     as gold or prediction.  The overall row is ``accuracy`` unless a label lies
     outside the fixed classes; then it is the ``micro avg`` over them.  Empty
-    denominators count as 0.
+    denominators count as 0.  Rows without a gold label (an index out of range)
+    belong to no class and are left out.
 
     The class rows and the averages come from one aggregation over two grouping
     sets, so the label table is read once.
     """
-    rated = _per_class(counts, keys, classes).select(
+    rated = _per_class(counts.where("gold is not null"), keys, classes).select(
         *keys,
         "label",
         "_hits",
@@ -186,8 +180,10 @@ def class_report(
 
 
 def label_union(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct labels seen as gold or as prediction."""
-    return counts.select(*keys, F.explode(F.array("gold", "pred")).alias("label")).distinct()
+    """Distinct labels seen as gold or as prediction, with their ``place`` in order."""
+    labels = counts.select(*keys, F.explode(F.array("gold", "pred")).alias("label")).where("label is not null")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("label"))
+    return labels.distinct().withColumn("place", place)
 
 
 def pred_distribution(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -195,25 +191,12 @@ def pred_distribution(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return counts.groupBy(*keys, "pred").agg(F.sum("n").alias("n"))
 
 
-def confusion(counts: DataFrame, keys: Sequence[str], dense_labels: int = DENSE_LABELS) -> DataFrame:
-    """Rows per (gold, prediction) over the union of labels, with zero cells.
+def confusion(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per (gold, prediction), the cells that occur; an absent cell is zero.
 
-    Zero cells are added by giving every label of a group the group's label
-    list.  Groups with more than ``dense_labels`` labels keep only their
-    non-zero cells: the missing ones are known to be zero, and writing them
-    would square the size of the result.  Both branches share the shuffle of
-    the counts, so the predictions are read once.
+    The axes of the matrix are the labels of :func:`label_union`.
     """
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    listed = label_union(counts, keys).withColumn("_size", size).where(F.col("_size") <= dense_labels)
-    axes = listed.groupBy(*keys).agg(F.sort_array(F.collect_list("label")).alias("_axis"))
-    zeros = (
-        axes.select(*keys, "_axis", F.explode("_axis").alias("gold"))
-        .select(*keys, "gold", F.explode("_axis").alias("pred"))
-        .withColumn("n", F.lit(0).cast("long"))
-    )
-    cells = counts.select(*keys, "gold", "pred", "n")
-    return union_all([cells, zeros]).groupBy(*keys, "gold", "pred").agg(F.sum("n").alias("n"))
+    return counts.select(*keys, "gold", "pred", "n")
 
 
 def choice_predictions(

@@ -45,6 +45,11 @@ def judgment_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "judgment")
 
 
+def all_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, labelled or not: prompts and answers need no label."""
+    return view(spark, sf_dir, "cases")
+
+
 def mcq_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with their choices as the text of a list, the way files hold them."""
     options = F.transform(
@@ -92,7 +97,9 @@ def wide_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
         for suffix in ("", "_retry")
     ]
     columns = [f"{folder}/mcq_4_choices/accuracy" for folder in folders]
-    return view(spark, sf_dir, "bench").groupBy("name").pivot("metric", columns).agg(F.max("value"))
+    unknown = F.raise_error(F.concat(F.lit("no column for the metric "), "metric"))
+    listed = F.when(F.col("metric").isin(columns), F.col("metric")).otherwise(unknown)
+    return view(spark, sf_dir, "bench").withColumn("metric", listed).groupBy("name").pivot("metric", columns).agg(F.max("value"))
 
 
 def messages_text() -> Column:
@@ -111,7 +118,7 @@ def src_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def src_multi_folder_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "results_by_source")
-    cases = judgment_cases(spark, sf_dir).select("row_id", "source", "label", "generated_answer")
+    cases = all_cases(spark, sf_dir).select("row_id", "source", "label", "generated_answer")
     sinks.write_by(cases, ["source"], path)
     return readers.load_prefix(spark, f"{path}/source=").select("row_id", "folder", "label", "generated_answer")
 
@@ -126,11 +133,7 @@ def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def eval_accuracy_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "results_by_run")
-    cases = judgment_cases(spark, sf_dir).select("run_group", "run_name", "label", "generated_answer")
-    sinks.write_by(cases, ["run_group", "run_name"], path)
-    results = scoring.label_answers(readers.load_run_results(spark, path))
-    return scoring.accuracy(results, keys=["run_group", "run_name"])
+    return scoring.accuracy(judged(spark, sf_dir), keys=["run_group", "run_name"])
 
 
 @query
@@ -159,6 +162,31 @@ def mcq_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.choice_predictions(items, keep=["row_id", *MCQ_KEYS])
 
 
+@query
+def mcq_other_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers read by another pattern than the default one."""
+    answers = view(spark, sf_dir, "mcq")
+    choice = prompts.parse_choice(F.col("generated_text"), "(?:thought|Answer:) ###([A-Z])")
+    return answers.select("row_id", choice.alias("prediction"))
+
+
+@query
+def mcq_literal_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Choices with escapes, constants, numbers and texts that are no list."""
+    kind = F.col("doc_id") % 5
+    word = F.regexp_extract("text", "[a-zA-Z]+", 0)
+    text = (
+        F.when(kind == 0, F.concat(F.lit("['it\\'s "), word, F.lit("', \"a \\\"b\\\" c\", None]")))
+        .when(kind == 1, F.concat(F.lit("[1, 2.5, True, '"), word, F.lit("']")))
+        .when(kind == 2, F.concat(F.lit("('"), word, F.lit("', 'tuple')")))
+        .when(kind == 3, F.lit("[]"))
+        .otherwise(word)
+    )
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("choices"))
+    found = prep.parsed_choices(rows)
+    return rows.select("doc_id", F.size(found).alias("n"), F.array_join(found, "|").alias("choices"))
+
+
 @query
 def mcq_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.class_report(mcq_counts(spark, sf_dir), keys=MCQ_KEYS, with_overall=False)
@@ -238,12 +266,12 @@ def prep_default_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def prompt_judgment(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompt = prep.pick_strategy(prep.INFERENCE_STRATEGIES, "swiss_judgement_prediction")
-    return prompt(judgment_cases(spark, sf_dir)).select("row_id", "prompt")
+    return prompt(all_cases(spark, sf_dir)).select("row_id", "prompt")
 
 
 @query
 def prompt_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = prep.default_prompt(judgment_cases(spark, sf_dir), "text")
+    cases = prep.default_prompt(all_cases(spark, sf_dir), "text")
     return prep.default_prompt(cases, "no_such_column", "absent_prompt").select("row_id", "prompt", "absent_prompt")
 
 
@@ -255,14 +283,14 @@ def mcq_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def conversations_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prep.conversation_messages(table(spark, sf_dir, "conversations"))
-    return rows.select("conv_id", "part", F.size("messages").alias("n_messages"), messages_text().alias("messages"))
+    return rows.select("conv_id", F.size("messages").alias("n_messages"), messages_text().alias("messages"))
 
 
 @query
 def render_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prep.conversation_messages(table(spark, sf_dir, "conversations"))
     text = prompts.render_chat(F.col("messages"), add_generation_prompt=True)
-    return rows.select("conv_id", "part", text.alias("chat"))
+    return rows.select("conv_id", text.alias("chat"))
 
 
 @query
@@ -272,7 +300,7 @@ def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load():
         return lambda texts: ["dismissal" if len(t) % 2 == 0 else "approval" for t in texts]
 
-    cases = prep.judgment_chat_prompt(judgment_cases(spark, sf_dir)).select("row_id", "label", "prompt")
+    cases = prep.judgment_chat_prompt(all_cases(spark, sf_dir)).select("row_id", "label", "prompt")
     return generate.batch_generate(cases, load).select("row_id", "label", "generated_answer")
 
 
@@ -419,6 +447,13 @@ def hist_curve_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.curve_stats(histories(spark, sf_dir))
 
 
+@query
+def hist_custom_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curve statistics with a metric of the caller's: the spread of the loss."""
+    spread = F.round(F.max(quoted("train/loss")) - F.min(quoted("train/loss")), 8)
+    return history.curve_stats(histories(spark, sf_dir), extra={"spread": spread}).select("name", "num_steps", "spread")
+
+
 @query
 def hist_last_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.last_points(histories(spark, sf_dir)).select("name", "_step", quoted("train/loss").alias("loss"))
@@ -540,6 +575,11 @@ def chart_learning_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.learning_curves(all_runs(spark, sf_dir), histories(spark, sf_dir))
 
 
+@query
+def chart_curve_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.curve_tail(report.learning_curves(all_runs(spark, sf_dir), histories(spark, sf_dir)))
+
+
 @query
 def chart_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.model_comparison(all_runs(spark, sf_dir), histories(spark, sf_dir))
@@ -557,7 +597,7 @@ def chart_task_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chart_rank_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.rank_series(view(spark, sf_dir, "task")).select("model_size", "lr", "rank", "position")
+    return report.rank_series(view(spark, sf_dir, "task")).select("model_size", "lr", "rank", "position", "eval_accuracy")
 
 
 @query
@@ -582,6 +622,11 @@ def bench_vs_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def chart_bench_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.benchmark_series(bench_merged(spark, sf_dir))
+
+
 @query
 def bench_baseline_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.baseline_delta(bench_merged(spark, sf_dir))

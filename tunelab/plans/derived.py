@@ -15,7 +15,8 @@ _NAME = """concat('lr1e-', CAST(3 + {u} % 3 AS STRING), '_r',
        CAST(CASE WHEN {u} % 11 = 10 THEN 1 ELSE CAST(power(2, {u} % 11) AS INT) END AS STRING), '_',
        CASE WHEN {u} % 11 = 10 THEN 'full' ELSE 'lora' END, '_', CASE WHEN {u} % 2 = 0 THEN '8B' ELSE '70B' END)"""
 
-_JUDGMENT = f"""
+# All documents; those without a label have none to be scored by.
+_CASES = f"""
 SELECT d.doc_id AS row_id, d.lang AS run_group, d.source AS source, l.toxic AS toxic,
        CASE WHEN d.n >= 17 THEN concat('unknown-run-', CAST(d.n AS STRING)) ELSE {_NAME.format(u="d.n")} END AS run_name,
        CAST(2000 + d.doc_id % 21 AS INT) AS year, d.lang AS language,
@@ -29,9 +30,11 @@ SELECT d.doc_id AS row_id, d.lang AS run_group, d.source AS source, l.toxic AS t
             WHEN d.doc_id % 8 = 4 THEN 'unclear' WHEN d.doc_id % 8 = 5 THEN NULL
             WHEN d.doc_id % 8 = 6 THEN CASE WHEN l.quality = 1 THEN 'approval' ELSE 'dismissal' END
             ELSE '' END AS generated_answer
-FROM (SELECT *, CAST(substr(source, 4) AS INT) AS n FROM {{documents}}) d JOIN {{labels}} l ON d.doc_id = l.doc_id
+FROM (SELECT *, CAST(substr(source, 4) AS INT) AS n FROM {{documents}}) d LEFT JOIN {{labels}} l ON d.doc_id = l.doc_id
 """
 
+_JUDGMENT = "SELECT * FROM cases WHERE label IS NOT NULL"
+
 _MCQ = """
 SELECT row_id, subset, model_folder, question, course, n_choices, gold,
        CASE WHEN row_id % 7 = 5 THEN 'no final answer given'
@@ -105,7 +108,8 @@ FROM named WHERE name LIKE '%lora%' GROUP BY name
 
 # name -> (views it needs, SQL)
 VIEWS = {
-    "judgment": ((), _JUDGMENT),
+    "cases": ((), _CASES),
+    "judgment": (("cases",), _JUDGMENT),
     "mcq": ((), _MCQ),
     "named": ((), _NAMED),
     "runs": ((), _RUNS),

@@ -87,7 +87,7 @@ def benchmark_items(spark: SparkSession, job: BenchmarkJob) -> DataFrame:
     frames = []
     for subset in job.subsets:
         items = readers.load_dataset(spark, job.dataset, subset, job.split)
-        frames.append(prep.mcq_prompts(items).withColumn("subset", F.lit(subset)))
+        frames.append(prep.mcq_prompts(prep.read_literals(items)).withColumn("subset", F.lit(subset)))
     return schemas.union_all(frames, allow_missing=True)
 
 

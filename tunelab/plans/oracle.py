@@ -21,7 +21,8 @@ LOSSES = """loss_points AS (
   UNION ALL SELECT name, step, loss_2, 2 FROM history WHERE loss_2 IS NOT NULL),
 losses AS (
   SELECT h.name, l.loss AS final_loss FROM (SELECT DISTINCT name FROM history) h LEFT JOIN (
-    SELECT * FROM loss_points QUALIFY row_number() OVER (PARTITION BY name ORDER BY choice, step DESC) = 1) l
+    SELECT * FROM loss_points
+    QUALIFY row_number() OVER (PARTITION BY name ORDER BY choice, step DESC NULLS LAST, loss DESC) = 1) l
   ON h.name = l.name),
 lossy AS (SELECT p.*, l.final_loss FROM parsed p LEFT JOIN losses l ON p.name = l.name)"""
 
@@ -142,6 +143,25 @@ FIRST_RUN = """(SELECT * FROM parsed WHERE state = 'finished' AND method = 'lora
    QUALIFY row_number() OVER (PARTITION BY model_size, learning_rate, lora_rank ORDER BY created_at, run_id) = 1)"""
 
 
+CURVES = f"""shown AS (
+  SELECT model_size, learning_rate AS panel, method, lora_rank, learning_rate, name FROM {FIRST_RUN}
+  WHERE (model_size = '8B' AND lora_rank <= 256) OR (model_size = '70B' AND lora_rank IN (16, 64, 512))),
+pairs AS (SELECT * FROM (VALUES (1e-3::DOUBLE, 1e-4::DOUBLE), (1e-4, 1e-5), (1e-5, 1e-6)) t(panel, full_rate)),
+first_full AS (
+  SELECT * FROM parsed WHERE state = 'finished' AND method = 'full'
+  QUALIFY row_number() OVER (PARTITION BY model_size, learning_rate ORDER BY created_at, run_id) = 1),
+chosen AS (
+  SELECT * FROM shown
+  UNION ALL
+  SELECT f.model_size, p.panel, f.method, f.lora_rank, f.learning_rate, f.name FROM first_full f
+  JOIN pairs p ON p.full_rate = f.learning_rate
+  WHERE EXISTS (SELECT 1 FROM shown s WHERE s.model_size = f.model_size AND s.panel = p.panel)),
+curves AS (
+  SELECT c.model_size, {RATE % 'c.panel'} AS lr, c.method, c.lora_rank, {RATE % 'c.learning_rate'} AS run_lr, c.name,
+         h.step, h.loss_1 AS loss
+  FROM chosen c JOIN history h ON h.name = c.name AND h.loss_1 IS NOT NULL)"""
+
+
 def _sql(views: tuple[str, ...], *parts: str) -> str:
     """``WITH`` the views and further steps; the last part is the query."""
     steps = [duckdb_with(*views)] if views else []
@@ -155,7 +175,7 @@ LOSSY = (PARSED, LOSSES)
 ORACLE: dict[str, str] = {
     "src_dataset": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "src_multi_folder_union": _sql(
-        ("judgment",), "SELECT row_id, source AS folder, label, generated_answer FROM judgment"
+        ("cases",), "SELECT row_id, source AS folder, label, generated_answer FROM cases"
     ),
     "eval_accuracy": _sql(
         ("judgment",), JUDGED, "SELECT sum((label = pred)::INT)::DOUBLE / count(*) AS accuracy FROM judged"
@@ -204,6 +224,14 @@ ORACLE: dict[str, str] = {
         f"""SELECT row_id, model_folder, subset, {ITEM_PROMPT} AS prompt, gold_letter AS gold, pred AS prediction,
                    generated_text, gold_letter = pred AS correct FROM answers""",
     ),
+    "mcq_other_pattern": _sql(
+        ("mcq",),
+        r"""SELECT row_id, coalesce(list_last(regexp_extract_all(generated_text, '(?:thought|Answer:) ###([A-Z])', 1)), 'None')
+                   AS prediction FROM mcq""",
+    ),
+    "mcq_literal_choices": """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 3 WHEN 1 THEN 4 WHEN 3 THEN 0 END::INT AS n,
+        CASE doc_id % 5 WHEN 0 THEN 'it''s ' || w || '|a "b" c|None' WHEN 1 THEN '1|2.5|True|' || w WHEN 3 THEN '' END AS choices
+        FROM (SELECT doc_id, regexp_extract(text, '[a-zA-Z]+') AS w FROM documents)""",
     "mcq_class_report": _sql(
         ("mcq",),
         ANSWERS,
@@ -221,13 +249,7 @@ ORACLE: dict[str, str] = {
     "mcq_confusion": _sql(
         ("mcq",),
         ANSWERS,
-        """seen AS (SELECT model_folder, subset, gold_letter AS label FROM answers
-                    UNION SELECT model_folder, subset, pred FROM answers)""",
-        """SELECT g.model_folder, g.subset, g.label AS gold, p.label AS pred, count(a.row_id) AS n
-           FROM seen g JOIN seen p ON g.model_folder = p.model_folder AND g.subset = p.subset
-           LEFT JOIN answers a ON a.model_folder = g.model_folder AND a.subset = g.subset
-                              AND a.gold_letter = g.label AND a.pred = p.label
-           GROUP BY ALL""",
+        "SELECT model_folder, subset, gold_letter AS gold, pred, count(*) AS n FROM answers GROUP BY ALL",
     ),
     "mcq_pred_distribution": _sql(
         ("mcq",), ANSWERS, "SELECT model_folder, subset, pred, count(*) AS n FROM answers GROUP BY ALL"
@@ -235,8 +257,10 @@ ORACLE: dict[str, str] = {
     "mcq_label_union": _sql(
         ("mcq",),
         ANSWERS,
-        """SELECT model_folder, subset, gold_letter AS label FROM answers
-           UNION SELECT model_folder, subset, pred FROM answers""",
+        """labels AS (SELECT model_folder, subset, gold_letter AS label FROM answers
+                      UNION SELECT model_folder, subset, pred FROM answers)""",
+        """SELECT *, CAST(row_number() OVER (PARTITION BY model_folder, subset ORDER BY label) AS INT) AS place
+           FROM labels""",
     ),
     "eval_grid_results": _sql(
         ("mcq",),
@@ -284,18 +308,18 @@ ORACLE: dict[str, str] = {
     ),
     "prep_default_text": """SELECT doc_id, lang, source, n_chars,
         to_json({'doc_id': doc_id, 'lang': lang, 'source': source, 'n_chars': n_chars})::VARCHAR AS text FROM documents""",
-    "prompt_judgment": _sql(("judgment",), f"SELECT row_id, {CHAT_PROMPT} AS prompt FROM judgment"),
-    "prompt_default": _sql(("judgment",), "SELECT row_id, text AS prompt, '' AS absent_prompt FROM judgment"),
+    "prompt_judgment": _sql(("cases",), f"SELECT row_id, {CHAT_PROMPT} AS prompt FROM cases"),
+    "prompt_default": _sql(("cases",), "SELECT row_id, text AS prompt, '' AS absent_prompt FROM cases"),
     "mcq_prompt": _sql(("mcq",), f"SELECT row_id, subset, n_choices, {ITEM_PROMPT} AS prompt FROM mcq"),
-    "conversations_to_messages": """SELECT conv_id, CAST(turn // 1024 AS INT) AS part, count(*)::INT AS n_messages,
-        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages FROM conversations GROUP BY 1, 2""",
-    "render_chat": """SELECT conv_id, CAST(turn // 1024 AS INT) AS part,
+    "conversations_to_messages": """SELECT conv_id, count(*)::INT AS n_messages,
+        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS messages FROM conversations GROUP BY conv_id""",
+    "render_chat": """SELECT conv_id,
         string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn)
-          || '<|im_start|>assistant' || chr(10) AS chat FROM conversations GROUP BY 1, 2""",
+          || '<|im_start|>assistant' || chr(10) AS chat FROM conversations GROUP BY conv_id""",
     "batch_generate": _sql(
-        ("judgment",),
+        ("cases",),
         f"""SELECT row_id, label, CASE WHEN length({CHAT_PROMPT}) % 2 = 0 THEN 'dismissal' ELSE 'approval' END
-                   AS generated_answer FROM judgment""",
+                   AS generated_answer FROM cases""",
     ),
     "slice_rows": """SELECT event_id, user_id, event_type, value, props FROM events
         ORDER BY event_id LIMIT 800 OFFSET 100""",
@@ -389,6 +413,11 @@ ORACLE: dict[str, str] = {
         """SELECT name, arg_max(loss_1, step) AS final_loss, min(loss_1) AS min_loss, round(avg(loss_1), 8) AS mean_loss,
                   count(*) AS num_steps FROM history WHERE loss_1 IS NOT NULL GROUP BY name""",
     ),
+    "hist_custom_metric": _sql(
+        ("history",),
+        """SELECT name, count(loss_1) AS num_steps, round(max(loss_1) - min(loss_1), 8) AS spread
+           FROM history WHERE loss_1 IS NOT NULL GROUP BY name""",
+    ),
     "hist_last_100": _sql(
         ("history",),
         """SELECT name, step AS _step, loss_1 AS loss FROM history
@@ -471,8 +500,9 @@ ORACLE: dict[str, str] = {
         RH,
         *LOSSY,
         GOOD,
-        f"""SELECT model_size, method, lora_rank, learning_rate, final_loss FROM good
-            WHERE method IS NOT NULL AND coalesce(NOT {DIVERGED}, TRUE)
+        f"""SELECT model_size, method, lora_rank, learning_rate,
+                   CAST(dense_rank() OVER (PARTITION BY model_size, method, lora_rank ORDER BY learning_rate) AS INT) AS place,
+                   final_loss FROM good WHERE method IS NOT NULL AND coalesce(NOT {DIVERGED}, TRUE)
             QUALIFY count(*) OVER (PARTITION BY model_size, method, lora_rank) >= CASE method WHEN 'lora' THEN 2 ELSE 1 END""",
     ),
     "loss_by_lr_rank": _sql(
@@ -484,10 +514,8 @@ ORACLE: dict[str, str] = {
     "heatmap_pivot": _sql(
         RH,
         *LOSSY,
-        """SELECT model_size, lora_rank, round(avg(final_loss) FILTER (learning_rate = 1e-5), 8) AS "lr_1e-5",
-                  round(avg(final_loss) FILTER (learning_rate = 1e-4), 8) AS "lr_1e-4",
-                  round(avg(final_loss) FILTER (learning_rate = 1e-3), 8) AS "lr_1e-3"
-           FROM lossy WHERE state = 'finished' AND method = 'lora' GROUP BY model_size, lora_rank""",
+        f"""SELECT model_size, lora_rank, {RATE % 'learning_rate'} AS lr, round(avg(final_loss), 8) AS final_loss
+            FROM lossy WHERE state = 'finished' AND method = 'lora' GROUP BY model_size, lora_rank, learning_rate""",
     ),
     "best_lr": _sql(
         RH,
@@ -524,12 +552,12 @@ ORACLE: dict[str, str] = {
            LEFT JOIN firsts f ON f.model_size = l.model_size AND f.learning_rate = p.full_rate
            GROUP BY l.model_size, p.lora_rate, p.full_rate, f.name, f.final_loss""",
     ),
-    "chart_learning_curves": _sql(
+    "chart_learning_curves": _sql(RH, PARSED, CURVES, "SELECT * FROM curves"),
+    "chart_curve_tail": _sql(
         RH,
         PARSED,
-        f"""SELECT r.model_size, {RATE % 'r.learning_rate'} AS lr, r.lora_rank, r.name, h.step, h.loss_1 AS loss
-            FROM {FIRST_RUN} r JOIN history h ON h.name = r.name AND h.loss_1 IS NOT NULL
-            WHERE (r.model_size = '8B' AND r.lora_rank <= 256) OR (r.model_size = '70B' AND r.lora_rank IN (16, 64, 512))""",
+        CURVES,
+        "SELECT * FROM curves QUALIFY row_number() OVER (PARTITION BY name ORDER BY step DESC) <= 100",
     ),
     "chart_model_comparison": _sql(
         RH,
@@ -557,7 +585,7 @@ ORACLE: dict[str, str] = {
     ),
     "chart_rank_series": _sql(
         ("task",),
-        """SELECT model_size, lr, rank,
+        """SELECT model_size, lr, rank, eval_accuracy,
                   CAST(row_number() OVER (PARTITION BY model_size, lr ORDER BY rank) - 1 AS INT) AS position
            FROM task WHERE NOT (model_size = '70B' AND rank = 1 AND lr = 1e-3)""",
     ),
@@ -578,6 +606,17 @@ ORACLE: dict[str, str] = {
         MERGED,
         "SELECT model_size, learning_rate, lora_rank, name, accuracy, final_loss FROM merged",
     ),
+    "chart_bench_series": _sql(
+        ("runs", "history", "bench"),
+        *LOSSY,
+        BENCH_LONG,
+        MEAN_LOSS,
+        MERGED,
+        """points AS (SELECT model_size, learning_rate, lora_rank, round(avg(accuracy), 8) AS accuracy,
+                             max(final_loss) AS final_loss FROM merged GROUP BY ALL)""",
+        """SELECT *, CAST(row_number() OVER (PARTITION BY model_size, learning_rate ORDER BY lora_rank) AS INT) AS place
+           FROM points""",
+    ),
     "bench_baseline_delta": _sql(
         ("runs", "history", "bench"),
         *LOSSY,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from tunelab.operators.prep import only_split
 from tunelab.schemas import nan_to_null, quoted
 
 SPLIT_COLUMN = "split"
-SCHEMA_READERS = 16
 
 
 def _glob(spark: SparkSession, pattern: str, folders_only: bool = False) -> list[str]:
@@ -46,10 +44,13 @@ def load_dataset(
 ) -> DataFrame:
     """A dataset by path; ``config`` is a sub-folder and ``split`` a value of the split column.
 
-    With the split stored as a partition folder, only that folder is read.
+    With the split stored as a partition folder, only that folder is read.  A
+    split that is asked for and not there is an error.
     """
     df = read_table(spark, f"{path.rstrip('/')}/{config}" if config else path, fmt, schema)
-    return only_split(df, split) if split and SPLIT_COLUMN in df.columns else df
+    if split and SPLIT_COLUMN not in df.columns:
+        raise ValueError(f"split {split!r} is missing: {path} has no column {SPLIT_COLUMN!r}")
+    return only_split(df, split) if split else df
 
 
 def load_first(
@@ -82,13 +83,14 @@ def load_prefix(spark: SparkSession, prefix: str, fmt: str = "parquet", schema:
     """All dataset folders whose path starts with a prefix, as one table.
 
     ``folder`` names the folder of each row.  The folders are handed to one
-    scan, sorted; plain files that match are passed over.
+    scan, sorted, and hold together all their columns; plain files that match
+    are passed over.
     """
     pattern = prefix if prefix.endswith("*") else f"{prefix}*"
     found = _glob(spark, pattern, folders_only=True)
     if not found:
         raise ValueError(f"no folder matches {pattern}")
-    reader = spark.read.schema(schema) if schema else spark.read
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     return reader.format(fmt).load(found).withColumn("folder", folder_of())
 
 
@@ -106,20 +108,19 @@ def load_run_results(
 ) -> DataFrame:
     """Results below ``parent/group/run`` with their ``run_group`` and ``run_name``.
 
-    One scan reads all runs.  Runs that lack a required column are left out;
-    their schemas are read side by side, from one file footer per run.
+    One scan reads all runs, with the columns of all of them.  A run that has no
+    value at all in a required column lacks it and is left out; this is decided
+    from one count per run, whatever their number.
     """
     found = _glob(spark, f"{parent.rstrip('/')}/*/*", folders_only=True)
-
-    def complete(path: str) -> bool:
-        return schemas.has_columns(spark.read.format(fmt).load(path), list(required))
-
-    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
-        good = [path for path, ok in zip(found, pool.map(complete, found)) if ok]
-    if not good:
+    everything = spark.read.option("mergeSchema", True).format(fmt).load(found) if found else None
+    if everything is None or not schemas.has_columns(everything, list(required)):
         raise ValueError(f"no result folder below {parent} has the columns {list(required)}")
     where = {"run_group": folder_of(2), "run_name": folder_of(1)}
-    return spark.read.format(fmt).load(good).select(*required, "_metadata").withColumns(where).drop("_metadata")
+    results = everything.select(*required, "_metadata").withColumns(where).drop("_metadata")
+    values = results.groupBy(*where).agg(*[F.count(quoted(c)).alias(f"_{i}") for i, c in enumerate(required)])
+    complete = values.where(F.least(*[F.col(f"_{i}") for i in range(len(required))], F.lit(1).cast("long")) > 0)
+    return results.join(complete.select(*where), [*where], "left_semi").select(*required, *where)
 
 
 def load_raw_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -141,7 +142,6 @@ def _read_histories(spark: SparkSession, paths: str | list[str], columns: Sequen
         spark.read.schema(schema)
         .option("header", True)
         .option("pathGlobFilter", "*.csv")
-        .option("ignoreCorruptFiles", True)
         .csv(paths)
     )
     types = {schemas.STEP_COLUMN: "long", **{c: "double" for c in schemas.LOSS_COLUMNS}}

@@ -17,9 +17,12 @@ from tunelab.sources.readers import decoded
 
 
 def history_stream(spark: SparkSession, folder: str, losses: Sequence[str] = LOSS_COLUMNS[:1]) -> DataFrame:
-    """New ``{run}.csv`` files with the columns ``_step`` and the losses, in this order."""
+    """New ``{run}.csv`` files with the columns ``_step`` and the losses, in this order.
+
+    A file with another header stops the ingest; it is never read by position.
+    """
     schema = ", ".join([f"`{STEP_COLUMN}` long", *[f"`{c}` double" for c in losses]])
-    files = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").csv(folder)
+    files = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).option("pathGlobFilter", "*.csv").csv(folder)
     run = F.regexp_replace(decoded(F.col("_metadata.file_name")), "\\.csv$", "")
     return nan_to_null(files.withColumn("name", run).select("name", quoted(STEP_COLUMN), *map(quoted, losses)))
 
