@@ -13,7 +13,6 @@ from functools import partial
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,16 +60,6 @@ def batch_generate(
     return df.mapInArrow(run, _answered(df, out))
 
 
-def with_models(items: DataFrame, models: Sequence[str]) -> DataFrame:
-    """Each item once per model, laid out so that a task serves few models.
-
-    ``models`` comes from a folder listing.  ``REBALANCE`` puts the items of a
-    model into partitions of even size: a task loads one adapter, and a model
-    with many items is spread over many tasks.
-    """
-    return items.withColumn("model_folder", F.explode(F.array(*map(F.lit, models)))).hint("rebalance", "model_folder")
-
-
 def generate_grid(
     items: DataFrame,
     models: Sequence[str],
@@ -78,19 +67,25 @@ def generate_grid(
     prompt_col: str = "prompt",
     out: str = "generated_text",
 ) -> DataFrame:
-    """Answers of every model of a grid to every item."""
-    work = with_models(items, models)
+    """Answers of every model of a grid to every item.
+
+    The models are adapters of one base, built once per task, which goes through
+    them for each batch of items.  Prompts are neither copied per model nor
+    shuffled.  ``models`` comes from a folder listing.
+    """
+    folder = T.StructField("model_folder", T.StringType())
+    schema = T.StructType([*items.schema.fields, folder, *_answered(items, out).fields[-2:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         generate = None
         for batch in batches:
-            folder = batch.column("model_folder")
-            for model in pc.unique(folder).to_pylist():
+            for model in models if batch.num_rows else ():
                 generate = generate or factory()
-                part = batch.filter(pc.equal(folder, model))
-                yield _answer(part, prompt_col, partial(generate, model), out)
+                names = [*batch.schema.names, "model_folder"]
+                own = pa.RecordBatch.from_arrays([*batch.columns, pa.array([model] * batch.num_rows)], names=names)
+                yield _answer(own, prompt_col, partial(generate, model), out)
 
-    return work.mapInArrow(run, _answered(work, out))
+    return items.mapInArrow(run, schema)
 
 
 def token_length(text: Column, factory: Callable[[], Callable[[list[str]], list[int]]]) -> Column:

@@ -230,6 +230,29 @@ def prompt_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("subset", prompts.token_count(F.col("prompt")).alias("length"))
 
 
+@query
+def grid_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stand-in base model with two adapters, each asked every item."""
+
+    def load():
+        return lambda model, texts: [f"###{'ABCD'[(len(t) + len(model)) % 4]}###" for t in texts]
+
+    items = view(spark, sf_dir, "mcq").select("row_id", F.col("question").alias("prompt"))
+    return generate.generate_grid(items, ["lora_8B", "lora_70B"], load).select("row_id", "model_folder", "generated_text")
+
+
+@query
+def prompt_length_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths by an injected tokenizer, here a stand-in for one that cannot be built."""
+
+    def missing():
+        raise OSError("no tokenizer")
+
+    factory = generate.with_fallback(missing, lambda: lambda texts: [len((t or "").split(" ")) for t in texts])
+    items = view(spark, sf_dir, "mcq").select("subset", generate.token_length(F.col("question"), factory).alias("length"))
+    return lengths.length_stats(items, ["subset"])
+
+
 @query
 def prompt_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_stats(prompt_lengths(spark, sf_dir), ["subset"])
@@ -392,6 +415,13 @@ def runs_update_final_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_with_loss(spark, sf_dir).select("run_id", "name", "final_loss")
 
 
+@query
+def runs_with_final_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.with_final_loss(all_runs(spark, sf_dir), history.final_loss(histories(spark, sf_dir)))
+    stamp = names.timestamped(F.col("name"), F.col("created_at")).alias("stamped")
+    return found.select("run_id", stamp, "final_loss", names.metric_title(F.lit("final_loss")).alias("title"))
+
+
 @query
 def runs_attach_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = F.when(F.col("state") == "failed", F.lit(0.5)).alias("eval_accuracy")
@@ -509,6 +539,11 @@ def ckpt_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpoints.discover(view(spark, sf_dir, "checkpoints"))
 
 
+@query
+def ckpt_single_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checkpoints.discover(view(spark, sf_dir, "checkpoints"), single_model="lr1e-4_r2_lora_70B")
+
+
 @query
 def ckpt_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpoints.without_checkpoint(view(spark, sf_dir, "checkpoints"))

@@ -279,6 +279,20 @@ ORACLE: dict[str, str] = {
         """SELECT subset, CAST(row_number() OVER (PARTITION BY subset ORDER BY accuracy DESC, model_folder) AS INT) AS place,
                   model_folder, accuracy FROM scored""",
     ),
+    "grid_answers": _sql(
+        ("mcq",),
+        """SELECT row_id, m.model_folder,
+                  '###' || substr('ABCD', CAST((length(question) + length(m.model_folder)) % 4 + 1 AS INT), 1) || '###' AS generated_text
+           FROM mcq, (SELECT unnest(['lora_8B', 'lora_70B']) AS model_folder) m""",
+    ),
+    "prompt_length_tokens": _sql(
+        ("mcq",),
+        "lens AS (SELECT subset, len(string_split(coalesce(question, ''), ' ')) AS x FROM mcq)",
+        """SELECT subset, min(x)::INT AS min, max(x)::INT AS max, round(avg(x), 6) AS mean,
+                  round(quantile_cont(x, 0.5), 6)::DOUBLE AS median, round(stddev_pop(x), 6) AS std,
+                  round(quantile_cont(x, 0.95), 6)::DOUBLE AS p95, round(quantile_cont(x, 0.99), 6)::DOUBLE AS p99,
+                  count(*) AS count FROM lens GROUP BY subset""",
+    ),
     "prompt_length_stats": _sql(
         ("mcq",),
         LENGTHS,
@@ -376,6 +390,12 @@ ORACLE: dict[str, str] = {
                                      THEN 'grid' ELSE 'other' END AS kind FROM parsed""",
     ),
     "runs_update_final_loss": _sql(RH, *LOSSY, "SELECT run_id, name, final_loss FROM lossy"),
+    "runs_with_final_loss": _sql(
+        RH,
+        *LOSSY,
+        """SELECT run_id, name || '_' || strftime(created_at, '%Y-%m-%d_%H-%M-%S') AS stamped, final_loss,
+                  'Final Loss' AS title FROM lossy WHERE is_grid_run""",
+    ),
     "runs_attach_accuracy": _sql(
         ("judgment", "runs"),
         JUDGED,
@@ -476,6 +496,11 @@ ORACLE: dict[str, str] = {
         """SELECT model_folder, path AS checkpoint_path, 'checkpoint-467' AS checkpoint_name FROM checkpoints
            WHERE path LIKE '%/checkpoint-467'""",
     ),
+    "ckpt_single_model": _sql(
+        ("checkpoints",),
+        """SELECT model_folder, path AS checkpoint_path, 'checkpoint-467' AS checkpoint_name FROM checkpoints
+           WHERE path LIKE '%/checkpoint-467' AND model_folder = 'lr1e-4_r2_lora_70B'""",
+    ),
     "ckpt_missing": _sql(
         ("checkpoints",),
         """SELECT DISTINCT model_folder FROM checkpoints WHERE model_folder NOT IN

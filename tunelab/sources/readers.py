@@ -153,28 +153,33 @@ def _read_histories(spark: SparkSession, paths: str | list[str], columns: Sequen
 def load_histories(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All ``{run}.csv`` histories of a folder in one table with the run's ``name``.
 
-    With ``columns`` all files are known to hold these columns in this order:
-    one scan.  Otherwise files may differ, so they are first grouped by their
-    header, which is the line with a ``_step`` cell; each group is a scan of
-    its own and the groups are united by column name.  Only the distinct
-    headers and the file names reach the driver.
+    With ``columns`` all files are known to hold these columns in this order.
+    Otherwise files may differ: the header of each, the line with a ``_step``
+    cell, is a row of a small table, which is joined to the cells of one scan,
+    so that every column is picked by its name.  Only the distinct headers reach
+    the driver.  A file that cannot be read is an error.
     """
     if columns:
         return _read_histories(spark, folder, columns)
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
     cells = F.transform(F.split("value", ","), lambda c: F.btrim(c, F.lit(' "\r')))
-    groups = (
-        lines.select(cells.alias("columns"), decoded(F.col("_metadata.file_path")).alias("path"))
-        .where(F.array_contains("columns", schemas.STEP_COLUMN))
-        .groupBy("columns")
-        .agg(F.collect_set("path").alias("paths"))
-        .orderBy("columns")
-        .collect()
-    )
-    if not groups:
+    path = F.col("_metadata.file_path").alias("path")
+    headers = lines.select(cells.alias("columns"), path).where(F.array_contains("columns", schemas.STEP_COLUMN))
+    headers = headers.groupBy("path").agg(F.min("columns").alias("columns"))
+    distinct = [row["columns"] for row in headers.select("columns").distinct().collect()]
+    if not distinct:
         raise FileNotFoundError(f"no histories in {folder}")
-    frames = [_read_histories(spark, sorted(group["paths"]), group["columns"]) for group in groups]
-    return schemas.union_all(frames, allow_missing=True)
+    found = sorted({column for header in distinct for column in header})
+    places = [f"c{i}" for i in range(max(map(len, distinct)))]
+    raw = spark.read.schema(", ".join(f"{c} string" for c in places)).option("pathGlobFilter", "*.csv").csv(folder)
+    rows = raw.select(path, F.array(*places).alias("cells"))
+    rows = rows.where(~F.coalesce(F.array_contains("cells", schemas.STEP_COLUMN), F.lit(False)))
+    run = F.regexp_replace(decoded(F.element_at(F.split("path", "/"), -1)), "\\.csv$", "")
+    named = {c: F.get("cells", F.array_position("columns", F.lit(c)).cast("int") - 1) for c in found}
+    types = {schemas.STEP_COLUMN: "long", **{c: "double" for c in schemas.LOSS_COLUMNS}}
+    typed = {c: value.try_cast(types[c]) if c in types else value for c, value in named.items()}
+    joined = rows.join(headers, "path")
+    return nan_to_null(joined.select(*[value.alias(c) for c, value in typed.items()], run.alias("name")))
 
 
 def load_task_eval(spark: SparkSession, path: str) -> DataFrame:
