@@ -139,7 +139,7 @@ def _grouped(docs: DataFrame, shingle: int, radius: int, seed: int) -> DataFrame
     roots = components(links(classes, radius), "a", "b")
     member = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     member = stored(member, "members")
-    least = member.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stored(member.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     named = stored(member.join(least, "root").select("fp", "root", "component_id"), "named")
     return found.join(named, "fp")
 
