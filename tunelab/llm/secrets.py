@@ -111,7 +111,9 @@ def made_findings(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
     identifiers, paths, versions, numbers, checksums and repeated characters, all drawn by hash of doc_id.  Use
     reviewed findings instead where there are any.
     """
-    some = docs.where("doc_id is not null and text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    ids = docs.where("doc_id is not null and text is not null").select("doc_id").distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    some = stored(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null"), "sample-docs")
     words = F.regexp_extract_all("text", F.lit(r"\p{L}{2,}"), 0)
     some = some.select(F.col("doc_id").cast("string").alias("d"), words.alias("w")).where(F.size("w") > 0)
 
