@@ -123,6 +123,20 @@ def test_parsed_runs(spark, tmp_path):
     assert got == [("a", True, 64, 1e-4, -1.0), ("b", False, -1, -1.0, -1.0)]
 
 
+def test_task_eval_and_wide_benchmark(spark, tmp_path):
+    from tunelab.operators import report
+    from tunelab.schemas import TASK_EVAL
+
+    columns = [c.split()[0].strip("`") for c in TASK_EVAL.split(",")] if isinstance(TASK_EVAL, str) else TASK_EVAL.fieldNames()
+    values = {"model_size": "8B", "lr": "0.0001", "rank": "8", "eval_accuracy": "NaN"}
+    write(tmp_path / "task.csv", ",".join(columns) + "\n" + ",".join(values.get(c, "") for c in columns) + "\n")
+    task = readers.load_task_eval(spark, str(tmp_path / "task.csv")).first()
+    assert (task["model_size"], task["rank"], task["eval_accuracy"]) == ("8B", 8, None)
+    write(tmp_path / "wide.csv", "name,lr1e-4_r8_lora_8B/mcq_4_choices/accuracy\ngrid_8B_lora_x,0.25\nother,0.5\n")
+    long = report.unpivot_benchmark(readers.load_wide_benchmark(spark, str(tmp_path / "wide.csv")))
+    assert rows(long, "model_size", "learning_rate", "lora_rank", "accuracy") == [("8B", 1e-4, 8, 0.25)]
+
+
 def test_histories_with_different_headers(spark, tmp_path):
     write(tmp_path / "h" / "a.csv", "_step,train/loss\n1,0.9\n2,NaN\n3,\n")
     write(tmp_path / "h" / "b.csv", "train/loss,_step,extra\r\n0.5,1,x\r\nnan,2,y\r\n")
