@@ -159,7 +159,7 @@ def brute_weights(rows, labels):
         for k, x in every:
             if k == kind:
                 ratio[k, x] = np.log((good[k, x] + 1) / sums[0]) - np.log((every[k, x] + 1) / sums[1])
-    return [sum(c * ratio[s] for s, c in found.items()) for found in everything]
+    return [3000 * sum(c * ratio[s] for s, c in found.items()) / (300 + sum(found.values())) for found in everything]
 
 
 def gumbel(doc_id, seed="gumbel"):

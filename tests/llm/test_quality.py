@@ -54,8 +54,9 @@ def test_kth_largest(spark, k):
 
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
-    known, unseen = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
+    known, unseen = (labels.where(F.xxhash64("doc_id") % 2 == r) for r in (0, 1))
+    unseen = unseen.union(labels.where(F.xxhash64("doc_id") % 2 == -1))
     rated = quality.classify(docs, known).join(unseen, "doc_id")
     kept = {r["quality"]: (r["n"], r["k"]) for r in rated.groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).collect()}
-    assert kept[1][1] >= 0.995 * kept[1][0]
-    assert kept[0][1] <= 0.05 * kept[0][0]
+    assert kept[1][1] >= 0.998 * kept[1][0]
+    assert kept[0][1] <= 0.03 * kept[0][0]

@@ -20,6 +20,9 @@ GRAM = 3
 SAMPLE = 20_000
 #: A good document lost weighs as much as so many bad ones kept.
 CAUTION = 5
+#: Weights are those of a text of so many symbols, so that the length of a text does not outweigh what it holds; as many
+#: neutral symbols are added to every text, so that a few odd ones do not decide over a short text.
+TYPICAL, NEUTRAL = 3000, 300
 SLICE = 1 << 20
 SEED = "gumbel"
 
@@ -94,13 +97,19 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
 
 
 def with_weight(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """``docs`` in a struct ``row``, with ``log_weight``: the log importance weight of the whole text."""
+    """``docs`` in a struct ``row``, with ``log_weight``: the log importance weight of the whole text, scaled to a typical length."""
     bounded_batches(docs.sparkSession)
     named = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [float(sum(ratios[g].sum() for g in grams(text.as_py()))) for text in batch.column(1)]
+            found = []
+            for text in batch.column(1):
+                total, n = 0.0, NEUTRAL
+                for symbols in grams(text.as_py()):
+                    total += float(ratios[symbols].sum())
+                    n += len(symbols)
+                found.append(TYPICAL * total / n)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["row", "log_weight"])
 
     schema = f"row {named.schema['row'].dataType.simpleString()}, log_weight double"
