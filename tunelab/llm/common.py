@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space of the contracts, for a trim and inside a character class.
@@ -81,7 +81,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternates large-star and small-star steps.  A step is a map-side combined minimum per node and a join back; the
     minima are written first, so both sides of the join are plain shuffles and a hub is split by the
     skew join.  Links of every step are written below the shared folder; only their count and
-    checksum reach the driver.
+    checksum, observed while they are written, reach the driver.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
     pairs = stored(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
@@ -90,11 +90,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = pairs.union(pairs.select("v", "u"))
         lowest = stored(both.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         larger = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        pairs = stored(larger.where("u != v").distinct(), "links")
+        pairs = stored(larger.where("u != v"), "links")
         lowest = stored(pairs.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         smaller = pairs.join(lowest, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        pairs = stored(smaller.where("u != v").distinct(), "links")
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
+        kept = Observation()
+        checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("checksum")
+        pairs = smaller.where("u != v").distinct().observe(kept, F.count(F.lit(1)).alias("n"), checksum)
+        pairs = stored(pairs, "links")
+        if kept.get == seen:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = tuple(now)
+        seen = kept.get

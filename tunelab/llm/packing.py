@@ -34,19 +34,24 @@ class Tokens:
 
     def __init__(self, tokenizer: str, ranks: str):
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(tokenizer)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.path, self.whole = tokenizer, None
+        with open(tokenizer, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("fast", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def __call__(self, text: str, end: int = END_ID) -> np.ndarray:
         if any(s in text for s in self.special):
+            if self.whole is None:  # seldom needed
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.path)
             found = [self.whole.encode(text, add_special_tokens=False).ids]
         else:
             cuts, at = [0], 0
