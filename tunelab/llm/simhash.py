@@ -153,7 +153,7 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     found = _grouped(docs, shingle, radius, seed).groupBy("component_id", "root", "doc_id", "same").agg(F.count("*").alias("n"))
     found = stored(found, "grouped")
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.groupBy("root").agg(F.min("same").alias("first_same"))
+    first = stored(first.groupBy("root").agg(F.min("same").alias("first_same")), "first")
     judged = found.join(first, "root")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("same") == F.col("first_same"))
     judged = judged.select(F.col("doc_id").alias("of_id"), F.col("same").alias("of_same"), stays.alias("stays"), "n")
