@@ -138,7 +138,10 @@ def compare(members: pd.DataFrame, queries: pd.DataFrame, index: Index, cosine:
             links.append((qids[start + k], ids[at[0]]))
             if len(roots) > 1:
                 links.extend((qids[start + k], ids[r]) for r in roots)
-    out = [pd.DataFrame({"a": x, "b": pd.array([None] * len(x), "Int64"), "n": n}) for x, n in ((qids[counts > 0], counts[counts > 0]), (ids[back > 0], back[back > 0]))]
+    out = []
+    for owners, n in ((qids, counts), (ids, back)):
+        owners, n = owners[n > 0], n[n > 0]
+        out.append(pd.DataFrame({"a": owners, "b": pd.array([None] * len(owners), "Int64"), "n": n}))
     a, b = ([x[i] for x in links] for i in (0, 1))
     out.append(pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64"), "n": np.zeros(len(links), np.int64)}))
     return pd.concat(out)
@@ -156,7 +159,8 @@ def _links(classes: DataFrame, count: int, cosine: float) -> DataFrame:
                 probes, codes, errors = encode(_padded(batch["v"].to_list()), index)
                 yield batch.assign(list=probes[:, 0], probes=list(probes), codes=[c.tobytes() for c in codes], error=errors)
 
-    coded = classes.select("rep", "n", "v").mapInPandas(run, "rep long, n long, v array<double>, list int, probes array<int>, codes binary, error double")
+    schema = "rep long, n long, v array<double>, list int, probes array<int>, codes binary, error double"
+    coded = classes.select("rep", "n", "v").mapInPandas(run, schema)
     coded = stored(coded, "codes")
     asked = coded.select("rep", "n", "v", "list", F.explode("probes").alias("at"))
     members = coded.withColumn("at", F.col("list"))
@@ -219,4 +223,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     keyed = rows.select("vec_id", F.when(F.col("v").isNotNull(), F.col("k1")).alias("k1"), "k2")
     joined = keyed.join(named, ["k1", "k2"], "left")
     component = F.coalesce("component", "vec_id")
-    return joined.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    return joined.select(
+        "vec_id",
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        F.col("vec_id").eqNullSafe(component).alias("kept"),
+    )

@@ -183,7 +183,8 @@ def place(cut: DataFrame, length: int = LENGTH, unit: int = UNIT) -> DataFrame:
     """
     spark = cut.sparkSession
     ranked = cut.withColumn("size_class", F.ceil(F.col("length") / unit).cast("int"))
-    ranked = ranked.withColumn("order_key", text_key(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("start").cast("string")))
+    of = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    ranked = ranked.withColumn("order_key", text_key(of, F.lit(":"), F.col("start").cast("string")))
     counts = {r["size_class"]: r["count"] for r in ranked.groupBy("size_class").count().collect()}
     slots, filled, first = [], Counter(), 0
     for times, pattern in cutting_stock(counts, length // unit):
@@ -192,7 +193,9 @@ def place(cut: DataFrame, length: int = LENGTH, unit: int = UNIT) -> DataFrame:
             filled[s] += times * each
         first += times
     plan = spark.createDataFrame(slots, "of_class int, slot_from long, slot_to long, each long, first_id long")
-    ranked = prefix_sums(ranked.withColumn("one", F.lit(1)), ["size_class"], "order_key", ["doc_id", "start", "length", "doc_tokens"], "one", sum(counts.values()))
+    ties = ["doc_id", "start", "length", "doc_tokens"]
+    ranked = ranked.withColumn("one", F.lit(1))
+    ranked = prefix_sums(ranked, ["size_class"], "order_key", ties, "one", sum(counts.values()))
     here = (F.col("size_class") == F.col("of_class")) & F.col("before").between(F.col("slot_from"), F.col("slot_to") - 1)
     placed = ranked.join(F.broadcast(plan), here)
     nth = F.col("before") - F.col("slot_from")

@@ -21,9 +21,16 @@ FINDINGS, SAMPLE_DOCS = 20_000, 1_500
 #: Occurrences that make a run of letters a dictionary word.
 MIN_COUNT = 5
 TREES, DEPTH, SEED = 40, 8, 7
-SECRET_WORDS = r"(?i)\b(token|secret|key|apikey|password|passwd|pwd|auth|authorization|credential|credentials|bearer|private|access)\b"
-PLAIN_WORDS = r"(?i)\b(commit|sha|sha1|sha256|md5|hash|checksum|digest|revision|version|build|id|uuid|isbn|card|phone|tel|order|invoice|page|etag|integrity)\b"
-FEATURES = ["chars", "digits", "uppers", "symbols", "distinct_chars", "class_changes", "repeats", "transition", "coverage", "slashes", "in_path", "extension", "quoted", "assigned", "secret_word", "plain_word"]
+_SECRET = "token secret key apikey password passwd pwd auth authorization credential credentials bearer private access"
+_PLAIN = (
+    "commit sha sha1 sha256 md5 hash checksum digest revision version build id uuid isbn card phone tel order invoice page "
+    "etag integrity"
+)
+SECRET_WORDS, PLAIN_WORDS = (rf"(?i)\b({'|'.join(words.split())})\b" for words in (_SECRET, _PLAIN))
+FEATURES = (
+    "chars digits uppers symbols distinct_chars class_changes repeats transition coverage slashes in_path extension quoted "
+    "assigned secret_word plain_word"
+).split()
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -133,8 +140,10 @@ def made_findings(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
         return F.regexp_replace(word(k), "[^A-Za-z]", "e")
 
     lead, tail = F.concat(word(1), F.lit(" "), word(2), F.lit(" ")), F.concat(F.lit(" "), word(3), F.lit(" "), word(4))
-    keys = [hexes(1, 40), hexes(2, 32), base(3, 40), F.concat(F.lit("AKIA"), F.upper(hexes(4, 16))), F.concat(F.lit("ghp_"), base(5, 36)), base(6, 24), hexes(7, 64)]
-    named = [("token = \"", "\""), ("api_key: ", ""), ("secret='", "'"), ("password=", ""), ("Authorization: Bearer ", ""), ("private key ", "")]
+    prefixed = [F.concat(F.lit("AKIA"), F.upper(hexes(4, 16))), F.concat(F.lit("ghp_"), base(5, 36))]
+    keys = [hexes(1, 40), hexes(2, 32), base(3, 40), *prefixed, base(6, 24), hexes(7, 64)]
+    named = [("token = \"", "\""), ("api_key: ", ""), ("secret='", "'"), ("password=", "")]
+    named += [("Authorization: Bearer ", ""), ("private key ", "")]
     plain = [
         (F.concat(ascii(11), F.lit("_"), ascii(12), F.lit("_"), ascii(13), F.lit("_"), digits(14, 4)), "", ""),
         (F.concat(F.lit("/"), ascii(15), F.lit("/"), ascii(16), F.lit("/"), ascii(17), F.lit("-"), digits(18, 3)), "", ".html"),
@@ -155,9 +164,13 @@ def made_findings(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
     rows += [(c, F.concat(lead, F.lit(b)), F.concat(F.lit(a), tail), 0) for c, b, a in plain]
     parts = [x for c, b, a, _ in rows for x in (c, b, a)]
     some = stored(some.select("d", *[part.alias(f"x{i}") for i, part in enumerate(parts)]), "made")
-    made = [F.struct(*[F.col(f"x{3 * i + j}").alias(n) for j, n in enumerate(("candidate", "before", "after"))], F.lit(r[3]).alias("label")) for i, r in enumerate(rows)]
+    made = []
+    for i, row in enumerate(rows):
+        texts = [F.col(f"x{3 * i + j}").alias(name) for j, name in enumerate(("candidate", "before", "after"))]
+        made.append(F.struct(*texts, F.lit(row[3]).alias("label")))
     found = some.select("d", F.explode(F.array(*made)).alias("f")).select("d", "f.*")
-    return found.where(F.col("candidate").rlike(f"^{CANDIDATE}$")).orderBy(F.xxhash64("d", "candidate")).select("candidate", "before", "after", "label").limit(FINDINGS)
+    found = found.where(F.col("candidate").rlike(f"^{CANDIDATE}$")).orderBy(F.xxhash64("d", "candidate")).limit(FINDINGS)
+    return found.select("candidate", "before", "after", "label")
 
 
 def train(findings: DataFrame, words: DataFrame, pairs: DataFrame) -> PipelineModel:

@@ -32,7 +32,8 @@ def quantised(vectors: DataFrame, is_query: Column, scale: int = SCALE) -> DataF
     values = F.col("embedding").cast("array<double>")
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf))
     whole = F.transform(values, lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
-    table = vectors.select(F.col("vec_id").cast("long"), F.size(values).alias("dim"), whole.alias("v"), is_query.alias("asks"), finite.alias("finite"))
+    kept = [F.size(values).alias("dim"), whole.alias("v"), is_query.alias("asks"), finite.alias("finite")]
+    table = vectors.select(F.col("vec_id").cast("long"), *kept)
     table = table.where("vec_id is not null and finite").drop("finite")
     return table.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
 
