@@ -150,8 +150,12 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     Of rows that repeat it the one with the smallest text hash stays, equal rows become one.  In a group without any
     doc_id all rows but one go.  Only hashes of the rows that go are joined to the texts.
     """
-    found = _grouped(docs, shingle, radius, seed).groupBy("component_id", "root", "doc_id", "same").agg(F.count("*").alias("n"))
-    found = stored(found, "grouped")
+    return first_of_groups(docs, _grouped(docs, shingle, radius, seed))
+
+
+def first_of_groups(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The row of the smallest doc_id of each group, of rows ``grouped`` as (doc_id, same, root, component_id)."""
+    found = stored(grouped.groupBy("component_id", "root", "doc_id", "same").agg(F.count("*").alias("n")), "grouped")
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = stored(first.groupBy("root").agg(F.min("same").alias("first_same")), "first")
     judged = found.join(first, "root")
