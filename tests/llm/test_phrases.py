@@ -88,6 +88,16 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert rows_of(phrases.collocations(df, 4), *COLUMNS) == brute_collocations([(lang, t) for _, t, lang in rows], 4)
 
 
+def test_units_cut_texts_between_pieces(monkeypatch):
+    monkeypatch.setattr(phrases, "UNIT", 50)
+    texts = ["one two. three " * 20, "x " * 100, "", "a,b", "c " * 24 + "d", "\n" * 120]
+    units = list(phrases._units(list("abcdef"), texts))
+    assert {lang: b"".join(d for u in units for l, d in u if l == lang) for lang in "abde"} == {
+        lang: t.encode().translate(phrases._CLEAN) for lang, t in zip("abcdef", texts) if lang in "abde"
+    }
+    assert max(sum(len(d) for _, d in u) for u in units) <= 260
+
+
 def test_top_and_percent(spark):
     rows = corpus(1)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")

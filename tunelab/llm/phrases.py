@@ -21,6 +21,9 @@ BITS_EACH, MOST_BITS = 16, 26
 #: A phrase goes that a longer one holds in so many of a hundred of its occurrences.
 PERCENT = 100
 
+#: Bytes of text whose phrases are counted at once; longer texts are cut where no phrase goes on.
+UNIT = 1 << 20
+
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(UPPER.encode() + b"\t" + _BREAKS, LOWER.encode() + b" " + b"\n" * len(_BREAKS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -92,7 +95,27 @@ class _Numbers(dict):
         return number
 
 
-def count_batch(langs: list[str], texts: list[str], shortest: int, longest: int, known: Filter | None, done: list[Filter]) -> Iterator[tuple[list, int, list, np.ndarray]]:
+def _units(langs: list[str], texts: list[str]) -> Iterator[list[tuple[str, bytes]]]:
+    """The texts as clean bytes with line feeds between pieces, whole or cut there, in units of about ``UNIT`` bytes."""
+    unit, size = [], 0
+    for lang, text in zip(langs, texts):
+        data, start = text.encode().translate(_CLEAN), 0
+        while start < len(data):
+            end = start + UNIT - size
+            if end < len(data):
+                cut = data.rfind(b"\n", start, end) + 1 or data.find(b"\n", end) + 1
+                end = cut or len(data)
+            unit.append((lang, data[start:end]))
+            size += len(unit[-1][1])
+            start = end
+            if size >= UNIT or start < len(data):
+                yield unit
+                unit, size = [], 0
+    if unit:
+        yield unit
+
+
+def count_unit(unit: list[tuple[str, bytes]], shortest: int, longest: int, known: Filter | None, done: list[Filter]) -> Iterator[tuple[list, int, list, np.ndarray]]:
     """(langs, words, phrases, counts) of the phrases of texts whose parts without the first and the last word ``known`` holds.
 
     Words are numbered per language, longer phrases by the number of the phrase without the last word and that word, so
@@ -102,9 +125,9 @@ def count_batch(langs: list[str], texts: list[str], shortest: int, longest: int,
     of_lang: list[str] = []
     numbers: dict[str, _Numbers] = {}
     symbols = []
-    for lang, text in zip(langs, texts):
+    for lang, data in unit:
         own = numbers.get(lang) or numbers.setdefault(lang, _Numbers(lang, words, of_lang))
-        symbols.append(np.array([*map(own.__getitem__, text.encode().translate(_CLEAN).replace(b"\n", b" . ").split()), -1], np.int64))
+        symbols.append(np.array([*map(own.__getitem__, data.replace(b"\n", b" . ").split()), -1], np.int64))
     every = np.concatenate(symbols or [np.zeros(0, np.int64)])
     at = np.flatnonzero(every >= 0)
     number = every[at]
@@ -137,25 +160,29 @@ def count_batch(langs: list[str], texts: list[str], shortest: int, longest: int,
         hashes = _longer(hashes[left], one[word])
 
 
+def _counts(langs: list, k: int, phrases: list, counts: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(langs, pa.string()), pa.array(np.full(len(langs), k, np.int32)), pa.array(phrases, pa.string()), pa.array(counts.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
+
+
 def counted(texts: DataFrame, shortest: int, longest: int, known: Filter | None = None, done: list[Filter] | None = None) -> DataFrame:
     """(lang, k, phrase, n): occurrences of phrases of ``shortest`` to ``longest`` words that the filters ask for, in (lang, text).
 
-    Each task adds up its own batches before anything is shuffled.  With words asked for, k = 0 has the words of a language.
+    Each task adds up its own units before anything is shuffled.  With words asked for, k = 0 has the words of a language.
     """
     bounded_batches(texts.sparkSession)
     done = done or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for langs, k, phrases, counts in count_batch(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shortest, longest, known, done):
-                columns = [pa.array(langs, pa.string()), pa.array(np.full(len(langs), k, np.int32)), pa.array(phrases, pa.string()), pa.array(counts.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
+        units = (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for unit in units:
+            for langs, k, phrases, counts in count_unit(unit, shortest, longest, known, done):
+                yield _counts(langs, k, phrases, counts)
                 if k == 1:
-                    of = {lang: 0 for lang in langs}
+                    totals: dict[str, int] = {}
                     for lang, n in zip(langs, counts.tolist()):
-                        of[lang] += n
-                    columns = [pa.array(list(of), pa.string()), pa.array(np.zeros(len(of), np.int32)), pa.array([""] * len(of)), pa.array(list(of.values()), pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
+                        totals[lang] = totals.get(lang, 0) + n
+                    yield _counts(list(totals), 0, [""] * len(totals), np.array(list(totals.values()), np.int64))
 
     found = texts.select("lang", "text").mapInArrow(run, _COUNTED)
     return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
