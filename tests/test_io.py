@@ -2,12 +2,15 @@
 
 import json
 import os
+import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tunelab import session
-from tunelab.operators import checkpoints, runs, scoring
+from tunelab.operators import checkpoints, generate, runs, scoring
+from tunelab.operators import runs as run_ops
 from tunelab.plans import jobs
 from tunelab.plans.params import BenchmarkJob, GenerateJob, PrepareJob, ScoreJob
 from tunelab.sources import readers, sinks
@@ -98,6 +101,23 @@ def test_run_results_skip_incomplete_runs(spark, tmp_path):
         readers.load_run_results(spark, str(tmp_path), required=["nope"])
 
 
+def test_run_results_keep_runs_without_any_answer(spark, tmp_path):
+    good = spark.createDataFrame([(0, "dismissed", 1), (1, "no idea", 2)], "label int, generated_answer string, more int")
+    good.write.parquet(str(tmp_path / "g" / "some"))
+    silent = good.withColumn("generated_answer", F.lit(None).cast("string")).drop("more")
+    silent.write.parquet(str(tmp_path / "g" / "silent"))
+    silent.withColumn("label", F.lit(None).cast("int")).write.parquet(str(tmp_path / "g" / "nothing"))
+    good.drop("label").write.parquet(str(tmp_path / "g" / "no_label"))
+    good.limit(0).write.parquet(str(tmp_path / "g" / "empty"))
+    found = readers.load_run_results(spark, str(tmp_path))
+    assert rows(found.groupBy("run_name").count()) == [("nothing", 2), ("silent", 2), ("some", 2)]
+    scored = jobs.score_runs(spark, str(tmp_path), spark.createDataFrame([], "name string"))["accuracy"]
+    assert rows(scored, "run_name", "accuracy") == [("nothing", 0.0), ("silent", 0.0), ("some", 0.5)]
+    with pytest.raises(ValueError, match="cannot be required"):
+        spark.createDataFrame([(0, [1])], "label int, generated_answer array<int>").write.parquet(str(tmp_path / "other" / "g" / "r"))
+        readers.load_run_results(spark, str(tmp_path / "other"))
+
+
 def test_run_results_take_as_many_jobs_for_many_runs(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     jobs_of = {}
@@ -176,6 +196,37 @@ def test_checkpoints_and_adapters(spark, tmp_path):
         readers.list_checkpoints(spark, str(tmp_path / "nope"))
 
 
+def test_listing_of_many_folders(spark, tmp_path):
+    for i in range(3000):
+        (tmp_path / f"m {i}%" / "checkpoint-467").mkdir(parents=True)
+    (tmp_path / "m 7%" / "checkpoint-468").mkdir()
+    for base in (str(tmp_path), tmp_path.as_uri()):
+        listing = readers.list_checkpoints(spark, base, tasks=7)
+        assert listing.count() == 3001 and listing.where("model_folder = 'm 7%'").count() == 2
+        assert listing.select("path").distinct().count() == 3001
+        assert listing.where(~F.col("path").startswith(f"file:{tmp_path}/m ")).isEmpty()
+    assert readers.list_files(spark, str(tmp_path / "absent")).count() == 0
+
+
+def test_no_list_of_paths_on_the_driver(spark, tmp_path, monkeypatch):
+    """Listings are plans whose rows come from the tasks; the driver only asks whether the folder exists."""
+    (tmp_path / "m1" / "checkpoint-467").mkdir(parents=True)
+    asked = []
+    monkeypatch.setattr(readers, "_glob", lambda spark, pattern, folders_only=False: asked.append(pattern) or [pattern])
+    plan = readers.list_checkpoints(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert set(asked) == {str(tmp_path)} and "MapInArrow" in plan and "LocalTableScan" not in plan
+
+
+def test_headers_as_a_csv_reader_sees_them(spark, tmp_path):
+    write(tmp_path / "a.csv", '"a,b",_step,"say ""x""", train/loss\n"1,5",3,z,0.25\n')
+    write(tmp_path / "b.csv", "train/loss,_step\r\n0.5,4\r\n")
+    found = readers.load_histories(spark, str(tmp_path))
+    assert set(found.columns) == {"a,b", "_step", 'say "x"', "train/loss", "name"}
+    assert rows(found.fillna("-"), "name", "_step", "train/loss", "a,b", 'say "x"') == [("a", 3, 0.25, "1,5", "z"), ("b", 4, 0.5, "-", "-")]
+    cells = spark.createDataFrame([(",,",), ("",), ('"",a,"b ""c"" ,"',), ("x,\r",)], "v string").select(readers.csv_cells(F.col("v")).alias("c"))
+    assert [r["c"] for r in cells.collect()] == [["", "", ""], [""], ["", "a", 'b "c" ,'], ["x", ""]]
+
+
 # ---- writers --------------------------------------------------------------
 
 
@@ -219,9 +270,14 @@ def test_inventory_and_metric_history(spark, tmp_path):
     assert inventory["download_date"] == "2024-01-02 03:04:05"
     assert inventory["grid_runs"] == {"total": 3, "downloaded": 1, "skipped": 1, "failed": 1}
     values = spark.createDataFrame([("a", 0.5)], "name string, eval_accuracy double")
-    for _ in range(2):
-        sinks.append_metric(values, str(tmp_path / "metrics"), "eval_accuracy")
-    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
+    log = str(tmp_path / "metrics")
+    for batch in ("first", "first", "second"):
+        sinks.append_metric(values, log, "eval_accuracy", batch)
+    sinks.append_metric(values.selectExpr("name", "eval_accuracy + 1 AS final_loss"), log, "final_loss", "first")
+    want = [("a", "eval_accuracy", "first", 0.5), ("a", "eval_accuracy", "second", 0.5), ("a", "final_loss", "first", 1.5)]
+    assert rows(spark.read.parquet(log), "name", "metric", "batch", "value") == want
+    sinks.append_metric(values.withColumn("eval_accuracy", F.lit(0.75)), log, "eval_accuracy", "first")
+    assert rows(spark.read.parquet(log), "name", "metric", "batch", "value") == [("a", "eval_accuracy", "first", 0.75), *want[1:]]
 
 
 def test_skewed_write_is_split(spark, tmp_path):
@@ -325,3 +381,119 @@ def test_ingest_never_reads_by_position(spark, tmp_path):
     stream = ingest.history_stream(spark, str(tmp_path / "h"))
     with pytest.raises(Exception, match="CSV header|_step"):
         ingest.ingest_histories(stream, str(tmp_path / "table"), str(tmp_path / "state"))
+
+
+def test_bad_files_stop_nothing(spark, tmp_path):
+    folder, table, bad, state = tmp_path / "h", str(tmp_path / "table"), str(tmp_path / "bad"), str(tmp_path / "state")
+    write(folder / "a.csv", "_step,train/loss\n1,0.9\n2,NaN\n3,\n")
+    write(folder / "turned.csv", '"x,y",train/loss,_step\n"p,q",0.5,7\n')
+    write(folder / "second.csv", "loss,_step\n0.4,8\n")
+    write(folder / "no_header.csv", "1,2\n")
+    write(folder / "no_loss.csv", "_step,acc\n1,2\n")
+    write(folder / "short.csv", "_step,train/loss\n1,0.5\n2\n")
+    write(folder / "words.csv", "_step,train/loss\n1,high\n")
+    (folder / "binary.csv").write_bytes(bytes(range(256)))
+
+    def run():
+        ingest.ingest_files(ingest.line_stream(spark, str(folder)), table, bad, state)
+        return rows(spark.read.parquet(table).fillna(-1.0), "name", "_step", "train/loss", "loss")
+
+    first = [("a", 1, 0.9, -1.0), ("a", 2, -1.0, -1.0), ("a", 3, -1.0, -1.0), ("second", 8, -1.0, 0.4), ("turned", 7, 0.5, -1.0)]
+    assert run() == first and run() == first
+    write(folder / "late.csv", "_step,train/loss\n5,0.1\n")
+    write(folder / "late_bad.csv", "nothing\n")
+    assert run() == [*first[:3], ("late", 5, 0.1, -1.0), *first[3:]]
+    found = ingest.ingested_files(spark, table, bad)
+    reasons = {r["name"]: r["reason"] for r in found.where("status = 'failed'").collect()}
+    assert reasons == {
+        "no_header": "no header", "no_loss": "no loss column", "short": "a row of another length",
+        "words": "train/loss is no number", "binary": "no header", "late_bad": "no header",
+    }
+    stats = run_ops.ingest_stats(found.withColumn("kind", F.lit("grid")))
+    assert rows(stats, "total", "downloaded", "skipped", "failed") == [(10, 4, 0, 6)]
+
+
+def test_a_batch_that_is_written_again_adds_nothing(spark, tmp_path):
+    """The state of the stream is lost after its first batch was written: the second run replaces that batch."""
+    folder, table, bad = tmp_path / "h", str(tmp_path / "table"), str(tmp_path / "bad")
+    write(folder / "a.csv", "_step,train/loss\n1,0.9\n")
+    for state in ("first", "second"):
+        ingest.ingest_files(ingest.line_stream(spark, str(folder)), table, bad, str(tmp_path / state))
+    assert rows(spark.read.parquet(table), "name", "_step") == [("a", 1)]
+    assert rows(ingest.ingested_files(spark, str(tmp_path / "none"), bad)) == []
+
+
+# ---- resumed generation ---------------------------------------------------
+
+
+def counting_model(log, fails_on=None):
+    """A model that leaves a file per prompt it was asked, and breaks down at one of them."""
+
+    def load():
+        def answer(texts):
+            for text in texts:
+                if text == fails_on:
+                    raise RuntimeError("the machine is gone")
+                with open(os.path.join(log, f"{text}-{uuid.uuid4().hex}"), "w"):
+                    pass
+            return [f"answer {t}" for t in texts]
+
+        return answer
+
+    return load
+
+
+def asked(log):
+    return Counter(name.split("-")[0] for name in os.listdir(log))
+
+
+def test_a_killed_generation_asks_only_for_the_rest(spark, tmp_path):
+    df = spark.range(40).selectExpr("id AS row_id", "CAST(id AS string) AS prompt").repartition(3)
+    path, first, second = str(tmp_path / "answers"), tmp_path / "first", tmp_path / "second"
+    first.mkdir(), second.mkdir()
+    with pytest.raises(Exception, match="the machine is gone"):
+        generate.generate_resumably(df, ["row_id"], counting_model(str(first), "17"), path, batches=8)
+    logged = {r["prompt"] for r in spark.read.parquet(path).collect()}
+    assert logged and "17" not in logged
+    found = generate.generate_resumably(df, ["row_id"], counting_model(str(second)), path, batches=8)
+    assert rows(found, "prompt", "generated_answer") == sorted((str(i), f"answer {i}") for i in range(40))
+    assert asked(second) == Counter({str(i): 1 for i in range(40) if str(i) not in logged})
+    assert logged <= set(asked(first))
+    generate.generate_resumably(df, ["row_id"], counting_model(str(second)), path, batches=3)
+    assert sum(asked(second).values()) == 40 - len(logged)
+
+
+def test_a_killed_grid_asks_each_model_only_for_the_rest(spark, tmp_path):
+    items = spark.range(12).selectExpr("id AS row_id", "if(id % 5 = 0, null, 's') AS subset", "CAST(id AS string) AS prompt")
+    path, log = str(tmp_path / "answers"), tmp_path / "log"
+    log.mkdir()
+
+    model = counting_model(str(log))
+
+    def load(fails=False):
+        plain = model()
+
+        def answer(name, texts):
+            if fails and name == "b" and "7" in texts:
+                raise RuntimeError("the machine is gone")
+            return plain([f"{name}{t}" for t in texts])
+
+        return answer
+
+    with pytest.raises(Exception, match="the machine is gone"):
+        generate.generate_grid_resumably(items, ["row_id", "subset"], ["a", "b"], lambda: load(True), path, batches=4)
+    had = {(r["model_folder"], r["prompt"]) for r in spark.read.parquet(path).collect()} if os.path.exists(path) else set()
+    for name in os.listdir(log):
+        os.unlink(log / name)
+    found = generate.generate_grid_resumably(items, ["row_id", "subset"], ["a", "b", "c"], lambda: load(), path, batches=4)
+    assert rows(found, "model_folder", "prompt", "generated_text") == sorted((m, str(i), f"answer {m}{i}") for m in "abc" for i in range(12))
+    assert found.columns == ["row_id", "subset", "prompt", "model_folder", "generated_text", "generation_seconds"]
+    assert asked(log) == Counter({f"{m}{i}": 1 for m in "abc" for i in range(12) if (m, str(i)) not in had})
+
+
+def test_generation_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "row_id long, prompt string")
+    found = generate.generate_resumably(none, ["row_id"], counting_model(str(tmp_path)), str(tmp_path / "log"))
+    assert found.count() == 0 and "generated_answer" in found.columns
+    grid_ = generate.generate_grid_resumably(none, ["row_id"], ["a"], lambda: None, str(tmp_path / "grid"))
+    assert grid_.count() == 0 and "generated_text" in grid_.columns

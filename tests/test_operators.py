@@ -316,6 +316,46 @@ def test_last_points_are_cut_before_the_last_shuffle(spark):
     assert "WindowGroupLimit" in plan[exchange:] and "Partial" in plan[exchange:]
 
 
+def test_last_points_order_equal_and_missing_steps(spark):
+    """Only the points from the n-th last step on are ordered whole; ties there go by the other columns, runs may be null."""
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, 1, 2, 3, 4, 5]), rng.randrange(100) / 4) for _ in range(400)]
+    df = spark.createDataFrame(data, "name string, _step int, loss double").repartition(4)
+    for n in (1, 30, 99, 1000):
+        want = []
+        for run in ("a", "b", None):
+            points = [x for x in data if x[0] == run]
+            want += sorted(points, key=lambda x: (x[1] is None, -(x[1] or 0), -x[2]))[:n]
+        assert Counter(map(tuple, history.last_points(df, n=n).collect())) == Counter(want)
+
+
+@pytest.mark.parametrize("n, shards", [(300_000, 7), (50_000, 2)])
+def test_positions_by_selection(spark, monkeypatch, n, shards):
+    """Keys at positions by repeated counting, without a sort, a shuffle of rows or a written key."""
+    monkeypatch.setattr(positions, "SORTED_KEYS", 500)
+    df = spark.range(n, numPartitions=8).selectExpr("(id * 7919) % 1000003 AS b", "pmod(id, 3) AS a", "cast((id * 7919) % 1000003 AS string) AS s")
+    for key in ("b", "s", ["a", "b"]):
+        columns = [key] if isinstance(key, str) else key
+        order = [tuple(r) if len(columns) > 1 else r[0] for r in df.select(*columns).orderBy(*columns).collect()]
+        at = [0, 1, n // 3, n - 1]
+        found = positions.keys_at(df, key, positions.count_keys(df, key), at)
+        assert [tuple(x) if len(columns) > 1 else x for x in found] == [order[p] for p in at]
+    labelled = positions.with_shard(df, "b", shards).groupBy("shard").agg(F.count("*").alias("n"), F.min("b"), F.max("b"))
+    got = [tuple(r) for r in labelled.orderBy("shard").collect()]
+    keys = sorted((i * 7919) % 1000003 for i in range(n))
+    starts = [*positions.shard_starts(n, shards), n]
+    assert got == [(i, b - a, keys[a], keys[b - 1]) for i, (a, b) in enumerate(zip(starts, starts[1:]))]
+
+
+def test_positions_beside_a_key_that_repeats(spark, monkeypatch):
+    monkeypatch.setattr(positions, "SORTED_KEYS", 4096)
+    df = spark.range(20_000).selectExpr("if(id < 15000, -1, id) AS k")
+    assert sorted(r["k"] for r in positions.slice_rows(df, "k", 15_100, 15_200).collect()) == list(range(15_100, 15_200))
+    assert positions.slice_rows(df, "k", 0, 15_000).count() == 15_000
+    with pytest.raises(ValueError, match="not unique"):
+        positions.slice_rows(df, "k", 7, 15_100)
+
+
 # ---- grid -----------------------------------------------------------------
 
 

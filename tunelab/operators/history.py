@@ -68,14 +68,22 @@ def last_points(
     """The last ``n`` points of each run, all if it has fewer.
 
     Points without step come first, equal steps are ordered by the other
-    columns.  The points are cut within hash buckets of a run, then in the run,
-    so a run with a third of all points is no hot spot, whatever ``n``.
+    columns.  The step of the n-th last point of each run comes from run and step alone; only the
+    points from that step on are then ordered whole, at most ``n`` and those of equal step.  Points are cut within hash
+    buckets of a run, then in the run, so a run with a third of all points is no hot spot, whatever ``n``.
     """
+    steps = history.select(quoted(run).alias("_run"), quoted(step).alias("_step_at"))
+    nth = _newest(steps, "_run", [F.col("_step_at").desc_nulls_last()], F.xxhash64("_step_at"), n, last_only=True)
+    late = history.join(nth, quoted(run).eqNullSafe(F.col("_run")), "left").where(F.col("_step_at").isNull() | (quoted(step) >= F.col("_step_at")))
     others = [quoted(c).desc_nulls_last() for c in history.columns if c not in (run, step)]
-    newest = [quoted(step).desc_nulls_last(), *others]
-    bucket = F.pmod(F.xxhash64(*[quoted(c) for c in history.columns if c != run]), F.lit(TAIL_BUCKETS))
-    kept = history
-    for keys in ([quoted(run), bucket], [quoted(run)]):
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
-        kept = kept.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
-    return kept
+    mixed = F.xxhash64(*[quoted(c) for c in history.columns if c != run])
+    return _newest(late.select(*map(quoted, history.columns)), run, [quoted(step).desc_nulls_last(), *others], mixed, n)
+
+
+def _newest(points: DataFrame, run: str, order: Sequence[Column], mixed: Column, n: int, last_only: bool = False) -> DataFrame:
+    """The first ``n`` points of each run in the order, or only the n-th; cut in hash buckets of the run first."""
+    kept = points
+    for keys in ([quoted(run), F.pmod(mixed, F.lit(TAIL_BUCKETS))], [quoted(run)]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        kept = kept.withColumn("_place", place).where(F.col("_place") <= n)
+    return (kept.where(F.col("_place") == n) if last_only else kept).drop("_place")

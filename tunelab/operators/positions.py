@@ -1,32 +1,33 @@
 """Positional operators: slice, contiguous shards, head.
 
 Rows of a DataFrame have no position, so a position is the rank under a unique
-key of one or several columns.  A global ``row_number`` would put all rows through one task.  Instead
-only the key column is range-partitioned and counted, and the few keys that
-sit at the wanted positions are looked up.  The rows themselves are then
-picked with a plain key filter, which reaches the Parquet scan; they are never
-shuffled or sorted.
+key of one or several columns.  A global ``row_number`` would put all rows through one task, and a
+sort of the keys would move all of them to find a few.  The keys at the wanted positions are
+selected instead: a sample of the keys proposes pivots around each position, one
+count per range between pivots tells in which range it lies, and the range is narrowed down in the
+same way until the driver can sort what is left.  The rows themselves are then
+picked with a plain key filter, which reaches the Parquet scan; neither keys nor rows are ever
+shuffled, sorted or written.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from itertools import accumulate
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tunelab.schemas import quoted
-from tunelab.session import scratch_dir
 
 
-# monotonically_increasing_id() is the partition number and, in the low bits,
-# the number of the row within its partition.
-ROW_BITS = 33
+#: Keys of a range that the driver sorts at most, and keys of the sample that proposes pivots.
+SORTED_KEYS, SAMPLED_KEYS = 20_000, 4096
+#: Places in the sample, on either side of the expected one, where the pivots are: six standard deviations of a rank.
+MARGIN = 192
 
 
 Key = str | Sequence[str]
@@ -54,71 +55,97 @@ def _first_column(value):
 
 
 @dataclass(frozen=True)
-class KeyIndex:
-    """Keys in order with an ``id`` each, and the first position of each partition."""
-
-    keys: DataFrame
-    parts: list[int]
-    ends: list[int]
-
-    @property
-    def total(self) -> int:
-        return self.ends[-1] if self.ends else 0
-
-    def at(self, positions: Sequence[int]) -> list:
-        """The key at each position, ``0 <= position < total``."""
-        ids = []
-        for position in positions:
-            slot = bisect_right(self.ends, position)
-            start = self.ends[slot - 1] if slot else 0
-            ids.append((self.parts[slot] << ROW_BITS) + position - start)
-        if not ids:
-            return []
-        found = {row["id"]: row["key"] for row in self.keys.where(F.col("id").isin(ids)).collect()}
-        limits = [found[i] for i in ids]
-        # A limit shared by several rows would put them all on one side of it.
-        if self.keys.where(F.col("key").isin(*map(_literal, limits))).count() > len(set(ids)):
-            raise ValueError("the key is not unique and cannot cut the rows here")
-        return limits
-
-
-def key_index(df: DataFrame, key: Key) -> KeyIndex:
-    """Order the keys of ``df``.
-
-    The keys are range-partitioned, sorted within their partitions, numbered,
-    and written to the shared scratch folder, so that their numbers stay the
-    same even when an executor is lost.  The driver gets one count per
-    partition, never the keys.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, "keys")
+class Range:
+    """The ``size`` keys from ``low`` on and below ``high``, ``before`` keys being smaller; None is no bound."""
+
+    low: object
+    high: object
+    before: int
+    size: int
+
+    def holds(self, position: int) -> bool:
+        return self.before <= position < self.before + self.size
+
+    def keys(self, df: DataFrame, key: Key) -> DataFrame:
+        """The keys of the range, the first key column tested by itself too: that test reaches the scan."""
+        first = quoted(_columns(key)[0])
+        kept = df.select(*map(quoted, dict.fromkeys(_columns(key))))
+        if self.low is not None:
+            kept = kept.where((first >= F.lit(_first_column(self.low))) & (_key(key) >= _literal(self.low)))
+        if self.high is not None:
+            kept = kept.where((first <= F.lit(_first_column(self.high))) & (_key(key) < _literal(self.high)))
+        return kept.select(_key(key).alias("key"))
+
+
+def count_keys(df: DataFrame, key: Key) -> int:
+    """Number of rows; a null in a key column is an error."""
     missing = reduce(or_, [quoted(name).isNull() for name in _columns(key)])
-    ranged = df.select(_key(key).alias("key"), missing.alias("missing")).repartitionByRange("key")
-    ranged.sortWithinPartitions("key").withColumn("id", F.monotonically_increasing_id()).write.parquet(path)
-    keys = spark.read.parquet(path)
-    counted = (
-        keys.groupBy(F.shiftright("id", ROW_BITS).alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), F.bool_or("missing").alias("missing"))
-        .orderBy("part")
-        .collect()
-    )
-    if any(row["missing"] for row in counted):
+    found = df.select(missing.alias("missing")).agg(F.count(F.lit(1)).alias("n"), F.bool_or("missing").alias("missing")).first()
+    if found["missing"]:
         raise ValueError(f"{key} holds nulls and cannot order the rows")
-    return KeyIndex(keys, [row["part"] for row in counted], list(accumulate(row["n"] for row in counted)))
+    return found["n"]
+
+
+def _narrowed(df: DataFrame, key: Key, part: Range, positions: Sequence[int]) -> list[Range]:
+    """Smaller ranges of a range, those that hold a position, by one sample and one count."""
+    keys = part.keys(df, key)
+    rows = keys.orderBy(F.rand(part.size)).limit(SAMPLED_KEYS).collect()
+    sample = sorted(row["key"] for row in rows)
+    pivots = set()
+    for position in positions:
+        place = (position - part.before) * len(sample) // part.size
+        for at in (place - MARGIN, place + MARGIN):
+            if 0 <= at < len(sample):
+                pivots.add(sample[at])
+                pivots.update(sample[bisect_right(sample, sample[at]) :][:1])
+    pivots = sorted(p for p in pivots if part.low is None or p > part.low)
+    counted = keys.groupBy(_halves(F.col("key"), [*map(_literal, pivots)], 0, len(pivots)).alias("slot")).count().collect()
+    sizes = {row["slot"]: row["count"] for row in counted}
+    bounds, found, before = [part.low, *pivots, part.high], [], part.before
+    for slot in range(len(pivots) + 1):
+        smaller = Range(bounds[slot], bounds[slot + 1], before, sizes.get(slot, 0))
+        before += smaller.size
+        if any(map(smaller.holds, positions)):
+            found.append(smaller)
+    return found
+
+
+def keys_at(df: DataFrame, key: Key, total: int, positions: Sequence[int]) -> list:
+    """The key at each position, ``0 <= position < total``, of ``total`` rows.
+
+    A key that several rows share cannot stand at a limit between rows, so it is an error.
+    """
+    found: dict[int, object] = {}
+    open_ = [Range(None, None, 0, total)] if positions else []
+    while open_:
+        part = open_.pop()
+        here = [p for p in positions if part.holds(p)]
+        if part.size <= SORTED_KEYS:
+            keys = sorted(row["key"] for row in part.keys(df, key).collect())
+            for p in here:
+                found[p] = keys[p - part.before]
+                if bisect_right(keys, found[p]) - bisect_left(keys, found[p]) > 1:
+                    raise ValueError("the key is not unique and cannot cut the rows here")
+            continue
+        smaller = _narrowed(df, key, part, here)
+        if any(s.size == part.size for s in smaller):
+            raise ValueError("the key is not unique and cannot cut the rows here")
+        open_ += smaller
+    return [found[p] for p in positions]
 
 
-def _between(df: DataFrame, key: Key, index: KeyIndex, start: int, stop: int) -> DataFrame:
+def _between(df: DataFrame, key: Key, total: int, start: int, stop: int) -> DataFrame:
     """Rows from position ``start`` to ``stop``.
 
     With several key columns the first is tested by itself too: that test
     reaches the scan.
     """
-    if not 0 <= start <= stop <= index.total:
-        raise IndexError(f"slice {start}:{stop} of {index.total} rows")
+    if not 0 <= start <= stop <= total:
+        raise IndexError(f"slice {start}:{stop} of {total} rows")
     if start == stop:
         return df.limit(0)
-    inner = [p for p in (start, stop) if 0 < p < index.total]
-    limits = dict(zip(inner, index.at(inner)))
+    inner = [p for p in (start, stop) if 0 < p < total]
+    limits = dict(zip(inner, keys_at(df, key, total, inner)))
     first = quoted(_columns(key)[0])
     kept = df
     if start in limits:
@@ -130,8 +157,8 @@ def _between(df: DataFrame, key: Key, index: KeyIndex, start: int, stop: int) ->
 
 def slice_rows(df: DataFrame, key: Key, start: int = 0, end: int | None = None) -> DataFrame:
     """Rows ``start`` to ``end`` (exclusive) in key order; ``end`` is the row count by default."""
-    index = key_index(df, key)
-    return _between(df, key, index, start, index.total if end is None else end)
+    total = count_keys(df, key)
+    return _between(df, key, total, start, total if end is None else end)
 
 
 def shard_starts(total: int, num_shards: int) -> list[int]:
@@ -148,9 +175,9 @@ def check_shard(num_shards: int, index: int) -> None:
 def shard(df: DataFrame, key: Key, num_shards: int, index: int) -> DataFrame:
     """Contiguous shard ``index`` of ``num_shards`` in key order."""
     check_shard(num_shards, index)
-    keys = key_index(df, key)
-    starts = [*shard_starts(keys.total, num_shards), keys.total]
-    return _between(df, key, keys, starts[index], starts[index + 1])
+    total = count_keys(df, key)
+    starts = [*shard_starts(total, num_shards), total]
+    return _between(df, key, total, starts[index], starts[index + 1])
 
 
 def _halves(key: Column, firsts: list[Column], low: int, high: int) -> Column:
@@ -169,8 +196,8 @@ def with_shard(df: DataFrame, key: Key, num_shards: int, out: str = "shard") ->
     short.
     """
     check_shard(num_shards, 0)
-    keys = key_index(df, key)
-    firsts = keys.at([p for p in shard_starts(keys.total, num_shards)[1:] if p < keys.total])
+    total = count_keys(df, key)
+    firsts = keys_at(df, key, total, [p for p in shard_starts(total, num_shards)[1:] if p < total])
     return df.withColumn(out, _halves(_key(key), [*map(_literal, firsts)], 0, len(firsts)))
 
 

@@ -17,6 +17,7 @@ from tunelab.plans.derived import table, view
 from tunelab.schemas import quoted
 from tunelab.session import scratch_dir
 from tunelab.sources import readers, sinks
+from tunelab.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,6 +124,32 @@ def src_multi_folder_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.load_prefix(spark, f"{path}/source=").select("row_id", "folder", "label", "generated_answer")
 
 
+@query
+def src_run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of run folders as they are found: one run has not answered at all, one lacks the column of answers."""
+    path = scratch_dir(spark, "run_results")
+    cases = judgment_cases(spark, sf_dir).select("run_group", "run_name", "label", "generated_answer")
+    lacks = F.col("run_name") == "unknown-run-18"
+    answer = F.when(F.col("run_name") != "unknown-run-17", F.col("generated_answer"))
+    sinks.write_by(cases.where(~lacks).withColumn("generated_answer", answer), ["run_group", "run_name"], path)
+    sinks.write_by(cases.where(lacks).drop("generated_answer"), ["run_group", "run_name"], path, mode="append")
+    return scoring.accuracy(scoring.label_answers(readers.load_run_results(spark, path)), keys=["run_group", "run_name"])
+
+
+@query
+def src_checkpoint_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoints of a grid folder, listed in the tasks."""
+    path = scratch_dir(spark, "grid")
+    known = view(spark, sf_dir, "checkpoints")
+    step = names.base_name(F.col("path")).alias("checkpoint")
+    known.select(F.col("model_folder").alias("model"), step, F.coalesce("config", F.lit("{}")).alias("value")).write.partitionBy("model", "checkpoint").text(path)
+    listed = readers.list_checkpoints(spark, path)
+    folder = F.regexp_replace("model_folder", "^model=", "")
+    where = F.concat(F.lit("/grid/"), folder, F.lit("/"), F.regexp_extract("path", "/checkpoint=([^/]*)$", 1))
+    listed = listed.where(F.col("model_folder").startswith("model="))
+    return checkpoints.discover(listed.select(folder.alias("model_folder"), where.alias("path")))
+
+
 # ---- scoring --------------------------------------------------------------
 
 
@@ -327,6 +354,19 @@ def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.batch_generate(cases, load).select("row_id", "label", "generated_answer")
 
 
+@query
+def generate_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of a run that had done the labelled cases only before it was taken up again."""
+
+    def load():
+        return lambda texts: ["dismissal" if len(t) % 2 == 0 else "approval" for t in texts]
+
+    path = scratch_dir(spark, "answers")
+    cases = prep.judgment_chat_prompt(all_cases(spark, sf_dir)).select("row_id", "label", "prompt")
+    generate.generate_resumably(cases.where("label is not null"), ["row_id"], load, path, batches=2)
+    return generate.generate_resumably(cases, ["row_id"], load, path, batches=2).select("row_id", "label", "generated_answer")
+
+
 # ---- positions ------------------------------------------------------------
 
 
@@ -464,6 +504,28 @@ def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.ingest_stats(runs.ingest_status(*_ingest(spark, sf_dir)))
 
 
+@query
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of the history files of a folder, those of the 70B models without any loss column."""
+    folder, table_, bad, state = (scratch_dir(spark, n) for n in ("histories", "ingested", "quarantine", "state"))
+    points = histories(spark, sf_dir).withColumn("run", F.col("name"))
+    for size, rows in ((False, points), (True, points.withColumnsRenamed({"train/loss": "eval", "loss": "eval2"}))):
+        rows.where(F.col("run").contains("70B") == size).drop("name").write.partitionBy("run").mode("append").option("header", True).csv(folder)
+    for _ in range(2):  # a second call finds nothing new
+        ingest.ingest_files(ingest.line_stream(spark, folder), table_, bad, state, name=lambda p: F.regexp_extract(p, "/run=([^/]*)/", 1))
+    found = ingest.ingested_files(spark, table_, bad)
+    return runs.ingest_stats(runs.parse_names(found).select("status", F.when(F.col("is_grid_run"), "grid").otherwise("other").alias("kind")))
+
+
+@query
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric history after a job that was run twice."""
+    path = scratch_dir(spark, "metrics")
+    for _ in range(2):
+        sinks.append_metric(run_accuracy(spark, sf_dir), path, "eval_accuracy", "evaluation-1")
+    return spark.read.parquet(path).select("name", "metric", "batch", "value")
+
+
 # ---- histories ------------------------------------------------------------
 
 
@@ -529,6 +591,20 @@ def grid_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("run_id", "job_name", "output_dir")
 
 
+@query
+def grid_pending_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``grid_pending``, with the files of finished and other runs listed from their output folders."""
+    path = scratch_dir(spark, "out")
+    known = view(spark, sf_dir, "runs")
+    running = known.where("state = 'running'").select(names.job_name(F.col("name")).alias("job_name"))
+    last_file = F.when(F.col("state") == "finished", "adapter.safetensors").otherwise("trainer.log").alias("file")
+    known.select(F.col("name").alias("run"), last_file, F.col("name").alias("value")).write.partitionBy("run", "file").text(path)
+    shown = F.regexp_replace("path", "^.*/run=([^/]*)/(?:file=)?([^/]*)$", f"{OUTPUT_BASE}/$1/$2").alias("path")
+    plan = grid.planned_runs(grid.grid_points(spark, WIDE_GRID), OUTPUT_BASE)
+    left = grid.pending(plan, running, grid.completed_folders(readers.list_files(spark, path).select(shown)))
+    return left.select("run_id", "job_name", "output_dir")
+
+
 @query
 def ranks_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.available_ranks(all_runs(spark, sf_dir))

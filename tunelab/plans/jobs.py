@@ -41,15 +41,18 @@ def prepare_training(spark: SparkSession, job: PrepareJob) -> DataFrame:
 
 
 def generate_answers(spark: SparkSession, job: GenerateJob, model: Model) -> DataFrame:
-    """Generate one answer per row of a slice, write the rows, and read them back."""
+    """Generate one answer per row of a slice, write the rows, and read them back.
+
+    A job that was cut short and is run again with the same output asks the model only for the rows that are not there yet.
+    """
     strategy = prep.pick_strategy(prep.INFERENCE_STRATEGIES, job.strategy)
     df = readers.load_dataset(spark, job.dataset, job.config, job.split)
     if job.start or job.end is not None:
         df = positions.slice_rows(df, job.key, job.start, job.end)
     columns = df.columns
-    done = generate.batch_generate(strategy(df, job.input_col), lambda: model(job), "prompt", job.output_col)
-    sinks.write_dataset(done.select(*map(schemas.quoted, columns), schemas.quoted(job.output_col)), job.output)
-    return spark.read.parquet(job.output)
+    prompts = strategy(df, job.input_col)
+    done = generate.generate_resumably(prompts, [job.key], lambda: model(job), job.output, "prompt", job.output_col, job.batches)
+    return done.select(*map(schemas.quoted, columns), schemas.quoted(job.output_col))
 
 
 def score_answers(spark: SparkSession, job: ScoreJob) -> dict[str, DataFrame]:
@@ -92,14 +95,19 @@ def benchmark_items(spark: SparkSession, job: BenchmarkJob) -> DataFrame:
 
 
 def benchmark_grid(spark: SparkSession, job: BenchmarkJob, model: GridModel) -> dict[str, DataFrame]:
-    """Every model of a grid on every item: predictions, results, reports, leaderboard."""
+    """Every model of a grid on every item: predictions, results, reports, leaderboard.
+
+    Answers are logged below the output; a job that is run again asks a model only what it has not answered there.
+    """
     listing = readers.list_checkpoints(spark, job.grid_dir)
     found = checkpoints.discover(listing, job.checkpoint, job.single_model).collect()
     if not found:
         raise ValueError(f"no {job.checkpoint} below {job.grid_dir}")
     paths = {row["model_folder"]: row["checkpoint_path"] for row in found}
     items = benchmark_items(spark, job)
-    answered = generate.generate_grid(items, list(paths), lambda: model(job, paths))
+    log = f"{job.output.rstrip('/')}/answers"
+    answered = generate.generate_grid_resumably(items, [job.key, "subset"], list(paths), lambda: model(job, paths), log, batches=job.batches)
+    answered = answered.where(F.col("model_folder").isin(list(paths)))
     keep = [job.key, "model_folder", "subset", generate.SECONDS_COLUMN]
     rows = scoring.choice_predictions(answered, pattern=job.pattern, keep=keep)
     table = f"{job.output.rstrip('/')}/predictions"

@@ -177,6 +177,31 @@ ORACLE: dict[str, str] = {
     "src_multi_folder_union": _sql(
         ("cases",), "SELECT row_id, source AS folder, label, generated_answer FROM cases"
     ),
+    "src_run_results": _sql(
+        ("judgment",),
+        JUDGED,
+        """SELECT run_group, run_name,
+                  sum(CASE WHEN run_name <> 'unknown-run-17' AND label = pred THEN 1 ELSE 0 END)::DOUBLE / count(*) AS accuracy
+           FROM judged WHERE run_name <> 'unknown-run-18' GROUP BY ALL""",
+    ),
+    "src_checkpoint_tree": _sql(
+        ("checkpoints",),
+        """SELECT model_folder, path AS checkpoint_path, 'checkpoint-467' AS checkpoint_name FROM checkpoints
+           WHERE path LIKE '%/checkpoint-467'""",
+    ),
+    "metric_history": _sql(
+        ("judgment",),
+        JUDGED,
+        """SELECT run_name AS name, 'eval_accuracy' AS metric, 'evaluation-1' AS batch,
+                  sum((label = pred)::INT)::DOUBLE / count(*) AS value FROM judged GROUP BY run_name""",
+    ),
+    "ingest_quarantine": _sql(
+        RH,
+        f"""files AS (SELECT DISTINCT name, regexp_matches(name, {RUN}) AS is_grid, name LIKE '%70B%' AS bad FROM history)""",
+        """SELECT CASE WHEN is_grid THEN 'grid' ELSE 'other' END AS kind, count(*) AS total,
+                  count(*) FILTER (NOT bad) AS downloaded, count(*) FILTER (false) AS skipped, count(*) FILTER (bad) AS failed
+           FROM files GROUP BY ALL""",
+    ),
     "eval_accuracy": _sql(
         ("judgment",), JUDGED, "SELECT sum((label = pred)::INT)::DOUBLE / count(*) AS accuracy FROM judged"
     ),
@@ -335,6 +360,11 @@ ORACLE: dict[str, str] = {
         f"""SELECT row_id, label, CASE WHEN length({CHAT_PROMPT}) % 2 = 0 THEN 'dismissal' ELSE 'approval' END
                    AS generated_answer FROM cases""",
     ),
+    "generate_resumed": _sql(
+        ("cases",),
+        f"""SELECT row_id, label, CASE WHEN length({CHAT_PROMPT}) % 2 = 0 THEN 'dismissal' ELSE 'approval' END
+                   AS generated_answer FROM cases""",
+    ),
     "slice_rows": """SELECT event_id, user_id, event_type, value, props FROM events
         ORDER BY event_id LIMIT 800 OFFSET 100""",
     "shard_contiguous": """SELECT event_id, user_id, CAST(ntile(7) OVER (ORDER BY event_id) - 1 AS INT) AS shard
@@ -485,6 +515,15 @@ ORACLE: dict[str, str] = {
         """SELECT run_id, 'sft-' || run_id AS job_name, '/out/' || run_id AS output_dir FROM plan
            WHERE run_id NOT IN (SELECT name FROM runs WHERE state IN ('running', 'finished'))""",
     ),
+    "grid_pending_listed": _sql(
+        R,
+        PARSED,
+        GRID_POINTS,
+        f"""plan AS (SELECT 'lr' || {RATE % 'learning_rate'} || '_r' || lora_rank || '_' || method || '_' || model_size
+                            AS run_id FROM points)""",
+        """SELECT run_id, 'sft-' || run_id AS job_name, '/out/' || run_id AS output_dir FROM plan
+           WHERE run_id NOT IN (SELECT name FROM runs WHERE state IN ('running', 'finished'))""",
+    ),
     "ranks_available": _sql(
         R,
         PARSED,

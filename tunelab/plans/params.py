@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from tunelab.functions.prompts import CHOICE_PATTERN, check_choice_pattern
 from tunelab.operators.checkpoints import CHECKPOINT
-from tunelab.operators.generate import OUTPUT_COLUMN
+from tunelab.operators.generate import BATCHES, OUTPUT_COLUMN
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,7 @@ class GenerateJob:
     key: str = "row_id"
     max_new_tokens: int = 200
     temperature: float = 0.0
+    batches: int = BATCHES
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,7 @@ class BenchmarkJob:
     max_new_tokens: int = 2048
     temperature: float = 0.0
     max_lora_rank: int = 512
+    batches: int = BATCHES
 
     def __post_init__(self) -> None:
         check_choice_pattern(self.pattern)

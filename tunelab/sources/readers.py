@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pyarrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,8 @@ from tunelab.operators.prep import only_split
 from tunelab.schemas import nan_to_null, quoted
 
 SPLIT_COLUMN = "split"
+#: Tasks that share the folders of a listing, and rows of one batch of it.
+LISTING_TASKS, LISTED = 64, 10_000
 
 
 def _glob(spark: SparkSession, pattern: str, folders_only: bool = False) -> list[str]:
@@ -103,24 +108,43 @@ def load_results(
     return load_dataset(spark, path) if from_disk else load_dataset(spark, path, split=split)
 
 
+def _filled(field: T.StructField) -> T.StructField:
+    """The field with a default for files that lack the column, as ``ALTER TABLE ... ADD COLUMN ... DEFAULT`` gives it."""
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        value = "''" if isinstance(field.dataType, T.StringType) else "X''"
+    elif isinstance(field.dataType, (T.NumericType, T.BooleanType)):
+        value = f"CAST(0 AS {field.dataType.simpleString()})"
+    else:
+        raise ValueError(f"column {field.name!r} of type {field.dataType.simpleString()} cannot be required of a run")
+    return T.StructField(field.name, field.dataType, True, {"EXISTS_DEFAULT": value, "CURRENT_DEFAULT": value})
+
+
 def load_run_results(
     spark: SparkSession, parent: str, required: Sequence[str] = ("label", "generated_answer"), fmt: str = "parquet"
 ) -> DataFrame:
     """Results below ``parent/group/run`` with their ``run_group`` and ``run_name``.
 
-    One scan reads all runs, with the columns of all of them.  A run that has no
-    value at all in a required column lacks it and is left out; this is decided
-    from one count per run, whatever their number.
+    One scan reads all runs, with the columns of all of them.  A run whose files lack a required column is left out; one whose
+    values are all null stays, since a model without a single answer is wrong everywhere.  The tasks tell them apart: a second
+    scan gives absent columns a default, so that a column that is null in the first scan and not in the second is
+    absent.  Only counts per run come out of it, and the runs are not looked at one by one on the driver.
     """
     found = _glob(spark, f"{parent.rstrip('/')}/*/*", folders_only=True)
     everything = spark.read.option("mergeSchema", True).format(fmt).load(found) if found else None
     if everything is None or not schemas.has_columns(everything, list(required)):
         raise ValueError(f"no result folder below {parent} has the columns {list(required)}")
     where = {"run_group": folder_of(2), "run_name": folder_of(1)}
-    results = everything.select(*required, "_metadata").withColumns(where).drop("_metadata")
-    values = results.groupBy(*where).agg(*[F.count(quoted(c)).alias(f"_{i}") for i, c in enumerate(required)])
-    complete = values.where(F.least(*[F.col(f"_{i}") for i in range(len(required))], F.lit(1).cast("long")) > 0)
-    return results.join(complete.select(*where), [*where], "left_semi").select(*required, *where)
+    filled = T.StructType([_filled(everything.schema[c]) for c in required])
+    results = everything.select(*map(quoted, required), "_metadata").withColumns(where)
+    others = spark.read.schema(filled).format(fmt).load(found).select("*", "_metadata").withColumns(where)
+
+    def counts(rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.groupBy(*where).agg(*[F.count(quoted(c)).alias(f"{prefix}{i}") for i, c in enumerate(required)])
+
+    both = counts(results, "plain").join(counts(others, "filled"), [*where])
+    lacks = F.array(*[F.col(f"plain{i}") < F.col(f"filled{i}") for i in range(len(required))])
+    complete = both.where(~F.array_contains(lacks, True)).select(*where)
+    return results.join(complete, [*where], "left_semi").select(*map(quoted, required), *where)
 
 
 def load_raw_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -136,6 +160,18 @@ def load_parsed_runs(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("lora_rank", F.col("lora_rank").cast("int"))
 
 
+def csv_cells(line: Column) -> Column:
+    """Cells of a CSV line as a CSV reader sees them: commas in quotes do not cut, doubled quotes are one; outer spaces go."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), F.rtrim(line, F.lit("\r"))), F.lit(r',\s*("(?:[^"]|"")*"|[^,]*)'), 1)
+
+    def plain(cell: Column) -> Column:
+        bare = F.btrim(cell)
+        inner = F.replace(F.substr(bare, F.lit(2), F.greatest(F.char_length(bare) - 2, F.lit(0))), F.lit('""'), F.lit('"'))
+        return F.when(bare.startswith('"') & bare.endswith('"') & (F.char_length(bare) > 1), inner).otherwise(bare)
+
+    return F.transform(found, plain)
+
+
 def _read_histories(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = (
@@ -162,7 +198,7 @@ def load_histories(spark: SparkSession, folder: str, columns: Sequence[str] | No
     if columns:
         return _read_histories(spark, folder, columns)
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
-    cells = F.transform(F.split("value", ","), lambda c: F.btrim(c, F.lit(' "\r')))
+    cells = csv_cells(F.col("value"))
     path = F.col("_metadata.file_path").alias("path")
     headers = lines.select(cells.alias("columns"), path).where(F.array_contains("columns", schemas.STEP_COLUMN))
     headers = headers.groupBy("path").agg(F.min("columns").alias("columns"))
@@ -191,24 +227,53 @@ def load_wide_benchmark(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def list_checkpoints(spark: SparkSession, grid_dir: str) -> DataFrame:
+def _list_in_tasks(spark: SparkSession, base: str, tasks: int, folders: bool) -> DataFrame:
+    """(model_folder, path) of what lies in the folders of ``base``: their folders, or all that is in them.
+
+    Every task lists ``base`` and then those of its folders whose name falls to it, so no list of paths passes through the
+    driver, however many there are.  A folder with nothing to list gives a null path.
+    """
+    uri = _glob(spark, base.rstrip("/"))[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if "://" in uri:
+            system, root = pyarrow_fs.FileSystem.from_uri(uri)
+        else:
+            system, root = pyarrow_fs.LocalFileSystem(), uri.removeprefix("file:")
+        shown = uri.removesuffix(root)
+        shares = [share for batch in batches for share in batch.column(0).to_pylist()]
+        names, paths = [], []
+        for folder in system.get_file_info(pyarrow_fs.FileSelector(root)):
+            if folder.type != pyarrow_fs.FileType.Directory or zlib.crc32(folder.base_name.encode()) % tasks not in shares:
+                continue
+            inside = system.get_file_info(pyarrow_fs.FileSelector(folder.path))
+            found = [shown + x.path for x in inside if not folders or x.type == pyarrow_fs.FileType.Directory]
+            names += [folder.base_name] * max(1, len(found))
+            paths += found or [None]
+            if len(names) >= LISTED:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(paths, pa.string())], names=["model_folder", "path"])
+                names, paths = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(paths, pa.string())], names=["model_folder", "path"])
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(run, "model_folder string, path string")
+
+
+def list_checkpoints(spark: SparkSession, grid_dir: str, tasks: int = LISTING_TASKS) -> DataFrame:
     """Sub-folders of all model folders: ``model_folder`` and ``path``.
 
-    A model folder without any sub-folder is listed with a null path.
+    A model folder without any sub-folder is listed with a null path.  The
+    folder must lie where the tasks can list it: on a shared disk, HDFS or an object store.
     """
     if not exists(spark, grid_dir):
         raise ValueError(f"grid folder {grid_dir} does not exist")
-    base = grid_dir.rstrip("/")
-    models = _glob(spark, f"{base}/*", folders_only=True)
-    inside = _glob(spark, f"{base}/*/*", folders_only=True)
-    rows = [(m.rsplit("/", 1)[-1], None) for m in models] + [(p.split("/")[-2], p) for p in inside]
-    return spark.createDataFrame(rows, "model_folder string, path string")
+    return _list_in_tasks(spark, grid_dir, tasks, folders=True)
 
 
-def list_files(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Files one level below the output folders, without reading them."""
-    found = _glob(spark, f"{base_dir.rstrip('/')}/*/*")
-    return spark.createDataFrame([(p,) for p in found], "path string")
+def list_files(spark: SparkSession, base_dir: str, tasks: int = LISTING_TASKS) -> DataFrame:
+    """Files one level below the output folders, without reading them; none if the folder does not exist yet."""
+    if not exists(spark, base_dir):
+        return spark.createDataFrame([], "path string")
+    return _list_in_tasks(spark, base_dir, tasks, folders=False).where("path is not null").select("path")
 
 
 def load_adapters(spark: SparkSession, grid_dir: str) -> DataFrame:

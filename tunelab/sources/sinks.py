@@ -70,12 +70,17 @@ def write_metrics(tables: Mapping[str, DataFrame], path: str, keys: Sequence[str
         write_by(table, keys, f"{path.rstrip('/')}/{name}", mode="overwrite")
 
 
-def append_metric(values: DataFrame, path: str, metric: str, run: str = "name") -> None:
-    """Append a metric per run to the metric history."""
+def append_metric(values: DataFrame, path: str, metric: str, batch: str, run: str = "name") -> None:
+    """Add a metric per run to the metric history, as one batch, which takes the place of an earlier write of that batch.
+
+    ``batch`` names the job that measured the values.  A job that is run again writes the same partition again, so the
+    history holds every value once; other metrics and batches are not touched.
+    """
     row = values.select(
         quoted(run).alias("name"),
-        F.lit(metric).alias("metric"),
         quoted(metric).cast("double").alias("value"),
         F.current_timestamp().alias("logged_at"),
+        F.lit(metric).alias("metric"),
+        F.lit(batch).alias("batch"),
     )
-    row.write.mode("append").parquet(path)
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("metric", "batch").parquet(path)
