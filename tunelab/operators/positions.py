@@ -56,12 +56,13 @@ def _first_column(value):
 
 @dataclass(frozen=True)
 class Range:
-    """The ``size`` keys from ``low`` on and below ``high``, ``before`` keys being smaller; None is no bound."""
+    """The ``size`` keys from ``low`` on, or only those ``above`` it, and below ``high``, ``before`` keys being smaller; None is no bound."""
 
     low: object
     high: object
     before: int
     size: int
+    above: bool = False
 
     def holds(self, position: int) -> bool:
         return self.before <= position < self.before + self.size
@@ -71,7 +72,8 @@ class Range:
         first = quoted(_columns(key)[0])
         kept = df.select(*map(quoted, dict.fromkeys(_columns(key))))
         if self.low is not None:
-            kept = kept.where((first >= F.lit(_first_column(self.low))) & (_key(key) >= _literal(self.low)))
+            own = _key(key) > _literal(self.low) if self.above else _key(key) >= _literal(self.low)
+            kept = kept.where((first >= F.lit(_first_column(self.low))) & own)
         if self.high is not None:
             kept = kept.where((first <= F.lit(_first_column(self.high))) & (_key(key) < _literal(self.high)))
         return kept.select(_key(key).alias("key"))
@@ -86,6 +88,16 @@ def count_keys(df: DataFrame, key: Key) -> int:
     return found["n"]
 
 
+def _around(keys: DataFrame, part: Range, value: object, positions: Sequence[int]) -> list[Range]:
+    """The ranges below and above a key that many rows share; a position on it is an error."""
+    is_less, is_same = F.col("key") < _literal(value), F.col("key") == _literal(value)
+    less, same = keys.agg(F.count_if(is_less), F.count_if(is_same)).first()
+    if same > 1 and any(part.before + less <= p < part.before + less + same for p in positions):
+        raise ValueError("the key is not unique and cannot cut the rows here")
+    above = Range(value, part.high, part.before + less + same, part.size - less - same, above=True)
+    return [r for r in (Range(part.low, value, part.before, less, part.above), above) if any(map(r.holds, positions))]
+
+
 def _narrowed(df: DataFrame, key: Key, part: Range, positions: Sequence[int]) -> list[Range]:
     """Smaller ranges of a range, those that hold a position, by one sample and one count."""
     keys = part.keys(df, key)
@@ -99,11 +111,13 @@ def _narrowed(df: DataFrame, key: Key, part: Range, positions: Sequence[int]) ->
                 pivots.add(sample[at])
                 pivots.update(sample[bisect_right(sample, sample[at]) :][:1])
     pivots = sorted(p for p in pivots if part.low is None or p > part.low)
+    if not pivots:  # one key fills the sample: it is counted by itself
+        return _around(keys, part, sample[len(sample) // 2], positions)
     counted = keys.groupBy(_halves(F.col("key"), [*map(_literal, pivots)], 0, len(pivots)).alias("slot")).count().collect()
     sizes = {row["slot"]: row["count"] for row in counted}
     bounds, found, before = [part.low, *pivots, part.high], [], part.before
     for slot in range(len(pivots) + 1):
-        smaller = Range(bounds[slot], bounds[slot + 1], before, sizes.get(slot, 0))
+        smaller = Range(bounds[slot], bounds[slot + 1], before, sizes.get(slot, 0), part.above and slot == 0)
         before += smaller.size
         if any(map(smaller.holds, positions)):
             found.append(smaller)
@@ -127,10 +141,7 @@ def keys_at(df: DataFrame, key: Key, total: int, positions: Sequence[int]) -> li
                 if bisect_right(keys, found[p]) - bisect_left(keys, found[p]) > 1:
                     raise ValueError("the key is not unique and cannot cut the rows here")
             continue
-        smaller = _narrowed(df, key, part, here)
-        if any(s.size == part.size for s in smaller):
-            raise ValueError("the key is not unique and cannot cut the rows here")
-        open_ += smaller
+        open_ += _narrowed(df, key, part, here)
     return [found[p] for p in positions]
 
 
