@@ -68,21 +68,19 @@ def test_border_failures_are_followed_until_closed(spark, monkeypatch):
     """Without any proposal every level fails in turn, and each phrase is counted in one pass only."""
     passes = []
     plain = phrases.counted
-
-    def counted(texts, shortest, longest, known=None, done=None):
-        passes.append((shortest, longest, len(done or [])))
-        return plain(texts, shortest, longest, known, done)
-
-    monkeypatch.setattr(phrases, "counted", counted)
+    monkeypatch.setattr(phrases, "counted", lambda texts, asked: passes.append(asked) or plain(texts, asked))
     df = spark.createDataFrame([(i, "one two three four five six. two one", "en") for i in range(9)], "doc_id long, text string, lang string")
     found = phrases.frequent_phrases(df, 9, every=10**9)
     assert found.groupBy("lang", "k", "phrase").count().where("count > 1").isEmpty()
     assert Counter(r["k"] for r in found.collect()) == {0: 1, 1: 6, 2: 6, 3: 4, 4: 3, 5: 2}
-    assert passes[0] == (1, 1, 0) and passes[3:] == [(2, 5, 0), (3, 5, 1), (3, 5, 2), (3, 5, 3)]
+    assert [(x.shortest, x.longest, len(x.earlier), x.failed is None) for x in passes] == [
+        (1, 1, 0, True), (2, 2, 0, True), (3, 5, 0, True), (2, 5, 0, True), (2, 5, 1, False), (2, 5, 2, True), (2, 5, 3, True)
+    ]
 
 
-def test_a_full_filter_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "MOST_BITS", 10)
+def test_a_full_filter_and_small_sums_change_nothing(spark, monkeypatch):
+    for name, value in (("MOST_BITS", 10), ("UNIT", 300), ("WORDS", 4), ("ADDED", 5)):
+        monkeypatch.setattr(phrases, name, value)
     rows = corpus(3, 60)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert rows_of(phrases.collocations(df, 4), *COLUMNS) == brute_collocations([(lang, t) for _, t, lang in rows], 4)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,13 @@ PERCENT = 100
 
 #: Bytes of text whose phrases are counted at once; longer texts are cut where no phrase goes on.
 UNIT = 1 << 20
+#: Words that a task knows by number, and hashed phrases that it adds up, before it passes them on and starts anew.
+WORDS, ADDED = 1 << 19, 1 << 20
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(UPPER.encode() + b"\t" + _BREAKS, LOWER.encode() + b" " + b"\n" * len(_BREAKS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_COUNTED = "lang string, k int, phrase string, n long"
+_COUNTED = "lang string, k int, phrase string, hash long, n long"
 
 
 def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -39,8 +42,23 @@ def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((hashes * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, seed=xxhash.xxh32_intdigest(lang))
+def _phrase_hash(lang: str, phrase: str) -> int:
+    seed = xxhash.xxh32_intdigest(lang)
+    first, *rest = np.array([xxhash.xxh64_intdigest(w, seed) for w in phrase.encode().split(b" ")], np.uint64)[:, None]
+    for word in rest:
+        first = _longer(first, word)
+    return int(first[0])
+
+
+def _hashed(phrases: DataFrame) -> DataFrame:
+    """(hash) of (lang, phrase) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([*map(_phrase_hash, batch.column(0).to_pylist(), batch.column(1).to_pylist())], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "hash long")
 
 
 class Filter:
@@ -49,50 +67,77 @@ class Filter:
     Its size has a fixed bound.  Beyond that it fills up, and more phrases than were meant are counted, each exactly as before.
     """
 
-    def __init__(self, phrases: DataFrame, longest: int):
-        """``phrases`` are (lang, k, phrase, n); of longer ones than ``longest`` nothing is known, so all pass."""
-        some = phrases.where(F.col("k").between(1, longest))
-        bits = min(MOST_BITS, max(10, (BITS_EACH * some.count()).bit_length()))
+    def __init__(self, phrases: DataFrame):
+        """``phrases`` are rows of (lang, phrase) or of (hash)."""
+        hashes = phrases.select("hash") if "hash" in phrases.columns else _hashed(phrases)
+        bits = min(MOST_BITS, max(10, (BITS_EACH * phrases.count()).bit_length()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = np.zeros(batch.num_rows, np.uint64)
-                for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                    first, *rest = (np.uint64(_word_hash(lang, w)) for w in phrase.encode().split(b" "))
-                    for word in rest:
-                        first = _longer(np.array([first]), np.array([word]))[0]
-                    found[i] = first
-                slots = np.unique(_slots(found, bits))
+                slots = np.unique(_slots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits))
                 cells, first = np.unique(slots >> 6, return_index=True)
                 held = np.bitwise_or.reduceat(np.int64(1) << (slots & 63), first) if len(slots) else slots
                 yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(held)], names=["cell", "held"])
 
-        cells = some.select("lang", "phrase").mapInArrow(run, "cell long, held long").groupBy("cell").agg(F.bit_or("held").alias("held"))
+        cells = hashes.mapInArrow(run, "cell long, held long").groupBy("cell").agg(F.bit_or("held").alias("held"))
         table = cells.toPandas()
         words = np.zeros(1 << (bits - 6), np.int64)
         words[table["cell"].to_numpy(np.int64)] = table["held"].to_numpy(np.int64)
-        self.bits, self.longest = bits, longest
+        self.bits = bits
         self.held = phrases.sparkSession.sparkContext.broadcast(words)
 
-    def __call__(self, hashes: np.ndarray, k: int) -> np.ndarray:
-        if k > self.longest:
-            return np.ones(len(hashes), bool)
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
         slots = _slots(hashes, self.bits)
         return (self.held.value[slots >> 6] >> (slots & 63)) & 1 == 1
 
 
-class _Numbers(dict):
-    """Numbers of the words of one language within a batch."""
+class Asked(NamedTuple):
+    """What a pass counts: phrases of ``shortest`` to ``longest`` words whose parts, without the first and the last word, are ``known``.
 
-    def __init__(self, lang: str, words: list[bytes], langs: list[str]):
-        self.lang, self.words, self.langs = lang, words, langs
-        self[b"."] = -1
+    Of parts longer than ``upto`` nothing is known, so all pass.  With ``proposed`` true only known phrases are counted by their text, the border
+    by its hashes.  What ``earlier`` passes have counted is left out, but for the hashes that turned out frequent, ``failed``.
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.words)
-        self.words.append(word)
-        self.langs.append(self.lang)
-        return number
+    shortest: int
+    longest: int
+    known: Filter | None = None
+    upto: int = 0
+    proposed: bool = False
+    earlier: tuple[Asked, ...] = ()
+    failed: Filter | None = None
+
+    def passes(self, hashes: np.ndarray, k: int) -> np.ndarray:
+        return np.ones(len(hashes), bool) if k > self.upto else self.known(hashes)
+
+
+class _Words:
+    """Numbers and hashes of the words of a task, per language; words that are not known are breaks like those between pieces."""
+
+    def __init__(self, asked: Asked):
+        self.asked = asked
+        self.words: list[bytes] = []
+        self.langs: list[str] = []
+        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.hashes = np.zeros(0, np.uint64)
+        self.counts = np.zeros(0, np.int64)
+
+    def symbols(self, lang: str, data: bytes) -> np.ndarray:
+        words = data.replace(b"\n", b" . ").split()
+        own = self.numbers.setdefault(lang, {b".": -1})
+        new = [w for w in set(words) if w not in own]
+        if new:
+            seed = xxhash.xxh32_intdigest(lang)
+            hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in new], np.uint64)
+            known = self.asked.passes(hashes, 1) if self.asked.known else np.ones(len(new), bool)
+            at = len(self.words)
+            self.hashes = np.concatenate([self.hashes, hashes[known]])
+            for word, is_known in zip(new, known.tolist()):
+                own[word] = at if is_known else -1
+                if is_known:
+                    self.words.append(word)
+                    self.langs.append(lang)
+                    at += 1
+        return np.array([*map(own.__getitem__, words), -1], np.int64)
 
 
 def _units(langs: list[str], texts: list[str]) -> Iterator[list[tuple[str, bytes]]]:
@@ -115,107 +160,144 @@ def _units(langs: list[str], texts: list[str]) -> Iterator[list[tuple[str, bytes
         yield unit
 
 
-def count_unit(unit: list[tuple[str, bytes]], shortest: int, longest: int, known: Filter | None, done: list[Filter]) -> Iterator[tuple[list, int, list, np.ndarray]]:
-    """(langs, words, phrases, counts) of the phrases of texts whose parts without the first and the last word ``known`` holds.
+def _counts(langs, k: int, phrases, hashes, counts: np.ndarray) -> pa.RecordBatch:
+    n = len(counts)
+    columns = [
+        pa.nulls(n, pa.string()) if langs is None else pa.array(langs, pa.string()),
+        pa.array(np.full(n, k, np.int32)),
+        pa.nulls(n, pa.string()) if phrases is None else pa.array(phrases, pa.string()),
+        pa.nulls(n, pa.int64()) if hashes is None else pa.array(hashes.view(np.int64)),
+        pa.array(counts.astype(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "hash", "n"])
+
+
+def _word_counts(words: _Words) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the words so far, and with k = 0 those of all words of a language."""
+    if words.words:
+        yield _counts(words.langs, 1, words.words, None, words.counts)
+        langs, of = np.unique(np.array(words.langs, object).astype(str), return_inverse=True)
+        yield _counts(langs.tolist(), 0, [""] * len(langs), None, np.bincount(of, words.counts, len(langs)).astype(np.int64))
 
-    Words are numbered per language, longer phrases by the number of the phrase without the last word and that word, so
-    equal numbers mean equal phrases.  What an earlier pass with a filter of ``done`` has counted is left out.
+
+def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -> Iterator[tuple[int, list | None, list | None, np.ndarray, np.ndarray]]:
+    """(k, langs, phrases, hashes, counts) of the phrases of a unit, first those with a text, then those by hash.
+
+    Words are numbered, longer phrases by the number of the phrase without its last word and that word, so equal
+    numbers mean equal phrases.
     """
-    words: list[bytes] = []
-    of_lang: list[str] = []
-    numbers: dict[str, _Numbers] = {}
-    symbols = []
-    for lang, data in unit:
-        own = numbers.get(lang) or numbers.setdefault(lang, _Numbers(lang, words, of_lang))
-        symbols.append(np.array([*map(own.__getitem__, data.replace(b"\n", b" . ").split()), -1], np.int64))
-    every = np.concatenate(symbols or [np.zeros(0, np.int64)])
+    every = np.concatenate([words.symbols(lang, data) for lang, data in unit])
+    if asked.longest == 1:
+        words.counts = np.concatenate([words.counts, np.zeros(len(words.words) - len(words.counts), np.int64)])
+        words.counts += np.bincount(every[every >= 0], minlength=len(words.words))
+        return
     at = np.flatnonzero(every >= 0)
-    number = every[at]
-    hashes = one = np.array([_word_hash(lang, w) for lang, w in zip(of_lang, words)], np.uint64)
-    first = None
-    counted = [np.ones(len(words), bool) for _ in done]
-    for k in range(1, longest + 1):
-        if k >= shortest:
-            found = np.bincount(number, minlength=len(hashes))
-            new = np.flatnonzero(~np.any(counted, axis=0)) if done else np.arange(len(hashes))
-            if k == 1:
-                yield [of_lang[i] for i in new.tolist()], k, [words[i] for i in new.tolist()], found[new]
-            elif len(new):
-                parts = [every[first[new] + o].tolist() for o in range(k)]
-                yield [of_lang[i] for i in parts[0]], k, [b" ".join(p) for p in zip(*[[words[i] for i in part] for part in parts])], found[new]
-        if k == longest:
-            return
-        passes = known(hashes, k) if known else np.ones(len(hashes), bool)
-        earlier = [c & f(hashes, k) for c, f in zip(counted, done)]
+    number, hashes = every[at], words.hashes
+    counted = [np.ones(len(hashes), bool) for _ in asked.earlier]
+    for k in range(2, asked.longest + 1):
+        passes = asked.passes(hashes, k - 1)
+        counted = [c & e.passes(hashes, k - 1) for c, e in zip(counted, asked.earlier)]
         keep = passes[number]
         at, number = at[keep], number[keep]
         both = np.flatnonzero(at[1:] == at[:-1] + 1)
         right = number[both + 1]
         at, number = at[both], number[both]
-        last = every[at + k]
-        unique, first_of, number = np.unique(number * len(words) + last, return_index=True, return_inverse=True)
-        first = at[first_of]
-        left, word = (unique // len(words), unique % len(words)) if len(words) else (unique, unique)
-        counted = [e[left] & e[right[first_of]] for e in earlier]
-        hashes = _longer(hashes[left], one[word])
-
-
-def _counts(langs: list, k: int, phrases: list, counts: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(langs, pa.string()), pa.array(np.full(len(langs), k, np.int32)), pa.array(phrases, pa.string()), pa.array(counts.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
-
-
-def counted(texts: DataFrame, shortest: int, longest: int, known: Filter | None = None, done: list[Filter] | None = None) -> DataFrame:
-    """(lang, k, phrase, n): occurrences of phrases of ``shortest`` to ``longest`` words that the filters ask for, in (lang, text).
-
-    Each task adds up its own units before anything is shuffled.  With words asked for, k = 0 has the words of a language.
+        last = every[at + k - 1]
+        unique, first_of, number = np.unique(number * max(1, len(words.words)) + last, return_index=True, return_inverse=True)
+        first, right = at[first_of], right[first_of]
+        left, word = unique // max(1, len(words.words)), unique % max(1, len(words.words))
+        counted = [c[left] & c[right] for c in counted]
+        hashes = _longer(hashes[left], words.hashes[word])
+        if k < asked.shortest or not len(unique):
+            continue
+        new = np.ones(len(unique), bool)
+        for c, e in zip(counted, asked.earlier):
+            new &= ~c
+            if e.proposed and asked.failed:  # its border was counted by hash: what failed there is counted again
+                new |= c & ~e.passes(hashes, k) & asked.failed(hashes)
+        found = np.bincount(number, minlength=len(unique))
+        shown = np.flatnonzero(new & asked.passes(hashes, k) if asked.proposed else new)
+        if len(shown):
+            parts = [every[first[shown] + o].tolist() for o in range(k)]
+            names = [[words.words[i] for i in part] for part in parts]
+            yield k, [words.langs[i] for i in parts[0]], [*map(b" ".join, zip(*names))], hashes[shown], found[shown]
+        if asked.proposed:
+            border = np.flatnonzero(new & ~asked.passes(hashes, k))
+            yield k, None, None, hashes[border], found[border]
+
+
+def counted(texts: DataFrame, asked: Asked) -> DataFrame:
+    """(lang, k, phrase, hash, n): occurrences in (lang, text) of the phrases that are asked for, by text or by hash.
+
+    Each task adds up words, hashed phrases and the phrases of a unit before anything is shuffled.  With words asked
+    for, k = 0 has the words of a language.
     """
     bounded_batches(texts.sparkSession)
-    done = done or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-        for unit in units:
-            for langs, k, phrases, counts in count_unit(unit, shortest, longest, known, done):
-                yield _counts(langs, k, phrases, counts)
-                if k == 1:
-                    totals: dict[str, int] = {}
-                    for lang, n in zip(langs, counts.tolist()):
-                        totals[lang] = totals.get(lang, 0) + n
-                    yield _counts(list(totals), 0, [""] * len(totals), np.array(list(totals.values()), np.int64))
+        words = _Words(asked)
+        added: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def hashed() -> Iterator[pa.RecordBatch]:
+            for k, parts in added.items():
+                hashes, of = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+                yield _counts(None, k, None, hashes, np.bincount(of, np.concatenate([n for _, n in parts]), len(hashes)))
+            added.clear()
+
+        for unit in (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            for k, langs, phrases, hashes, counts in _phrase_counts(unit, words, asked):
+                if phrases is None:
+                    added.setdefault(k, []).append((hashes, counts))
+                else:
+                    yield _counts(langs, k, phrases, None, counts)
+            if sum(len(h) for parts in added.values() for h, _ in parts) >= ADDED:
+                yield from hashed()
+            if sum(map(len, words.numbers.values())) >= WORDS:
+                yield from _word_counts(words) if asked.longest == 1 else ()
+                words = _Words(asked)
+        yield from hashed()
+        yield from _word_counts(words) if asked.longest == 1 else ()
 
     found = texts.select("lang", "text").mapInArrow(run, _COUNTED)
-    return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    return found.groupBy("lang", "k", "phrase", "hash").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, every: int = EVERY) -> DataFrame:
     """(lang, k, phrase, n): all phrases of one to ``longest`` words with ``least`` occurrences in a language; k = 0 has its words.
 
     1. Words are counted in a full pass.  2. A sample of one in ``every`` documents is mined level by level at a
-    lowered threshold.  3. A full pass counts what the sample proposed and its negative border, the phrases that are not proposed
-    themselves while both parts of them, without the first and without the last word, are.  4. As long as a phrase of the border turns
-    out frequent, another full pass counts what it adds to the border.  Counts are exact whatever the sample holds.
+    lowered threshold.  3. A full pass counts what the sample proposed, and by 64-bit hashes its negative border, the phrases that are not
+    proposed themselves while both parts of them, without the first and without the last word, are.  A hash counts at least as
+    often as each phrase that has it, so no frequent one is missed.  4. As long as the border fails, because a phrase or a hash in it
+    turned out frequent, another full pass counts that and what it adds to the border.  Counts are exact whatever the sample holds.
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), "doc_id")
-    words = stored(counted(texts, 1, 1).where((F.col("k") == 0) | (F.col("n") >= least)), "words")
+    columns = ("lang", "k", "phrase", "n")
+    words = stored(counted(texts, Asked(1, 1)).where((F.col("k") == 0) | (F.col("n") >= least)).select(*columns), "words")
     if longest == 1:
         return words
     expected = least / every
     few = max(2, int(expected - 2 * expected**0.5))
+    of_words = Filter(words.where("k = 1"))
     sample = stored(texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("lang", "text"), "phrase-sample")
-    pairs = stored(counted(sample, 2, 2, Filter(words, 1)).where(F.col("n") >= few), "sample-pairs")
-    proposed = words.union(pairs)
-    if longest > 3:
-        proposed = proposed.union(stored(counted(sample, 3, longest, Filter(proposed, 2)).where(F.col("n") >= few), "sample-phrases"))
-    known, done = Filter(proposed, longest - 1), []
-    found = new = stored(counted(texts, 2, longest, known).where(F.col("n") >= least), "phrases")
-    failed = new.where(F.col("k") < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    while not failed.isEmpty():
-        done.append(known)
-        known = Filter(words.union(found), longest - 1)
-        new = stored(counted(texts, 3, longest, known, done).where(F.col("n") >= least), "phrases")
-        found = found.union(new)
-        failed = new.where(F.col("k") < longest)
+    pairs = stored(counted(sample, Asked(2, 2, of_words, 1)).where(F.col("n") >= few).select(*columns), "sample-pairs")
+    proposed = words.where("k = 1").union(pairs)
+    if longest > 2:
+        longer = counted(sample, Asked(3, longest, Filter(proposed), 2)).where(F.col("n") >= few)
+        proposed = proposed.union(stored(longer.select(*columns), "sample-phrases"))
+    passes = [Asked(2, longest, Filter(proposed), longest, proposed=True)]
+    new = stored(counted(texts, passes[0]).where(F.col("n") >= least), "phrases")
+    found = new.where("phrase is not null").select(*columns)
+    border = new.where("phrase is null").select("hash")
+    failed = None if border.isEmpty() else Filter(border)
+    open_ = found.where(F.col("k") < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+    while failed or not open_.isEmpty():
+        known = words.where("k = 1").union(found).select("lang", "phrase")
+        known = _hashed(known).union(border) if failed else known
+        asked = Asked(2, longest, Filter(known), longest, earlier=tuple(passes), failed=failed)
+        new = stored(counted(texts, asked).where(F.col("n") >= least).select(*columns), "phrases")
+        passes.append(asked._replace(earlier=(), failed=None))
+        found, failed, open_ = found.union(new), None, new.where(F.col("k") < longest)
     return words.union(found)
 
 
