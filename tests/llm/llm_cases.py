@@ -9,7 +9,7 @@ import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Column names that the operators use inside, as extra columns of the input.
-CLASHES = ("key", "same", "size", "pos", "line", "row", "before", "taken", "fp", "gone", "parts", "slot", "shard", "vec", "hash", "host")
+CLASHES = ("key", "same", "size", "pos", "line", "row", "before", "taken", "fp", "gone", "parts", "slot", "shard", "vec", "hash", "host", "of_id", "of_same", "stays", "n", "root", "set", "first", "id", "kept")
 
 LONG = "\n".join(f"line number {i} of a very long text with some words " + "ab" * (i % 7) for i in range(4000))
 
@@ -97,6 +97,19 @@ def brute_simhash(rows, radius=2):
     return sorted(((d, f"{int(p):016x}", least[g]) for (d, _), p, g in zip(rows, prints, group)), key=repr)
 
 
+def brute_groups(rows):
+    """The group of each of (doc_id, text) rows: five-word shingles, a similarity of 0.8 or more."""
+    sets = []
+    for _, text in rows:
+        words = WORD.findall(lower(text or ""))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+
+    def near(i):
+        return [j for j, s in enumerate(sets) if s == sets[i] or 9 * len(s & sets[i]) >= 4 * (len(s) + len(sets[i])) > 0]
+
+    return groups(len(rows), near)
+
+
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
     """Targets of {source: words}, by resharing the excess until none is above its cap."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

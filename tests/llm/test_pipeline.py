@@ -9,7 +9,7 @@ import compare
 import duckdb
 import numpy as np
 import pytest
-from llm_cases import WORD, brute_lines, brute_mix, brute_quality, simhash_classes
+from llm_cases import WORD, brute_groups, brute_lines, brute_mix, brute_quality
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -53,7 +53,7 @@ def brute_pipeline(sf_dir):
     docs = [d for d, keep in zip(docs, brute_quality(docs, labels)) if keep]
     docs = sorted((d, t) for d, _, _, t in brute_lines(docs))
     least = {}
-    for (doc_id, _), group in zip(docs, simhash_classes(docs)[1]):
+    for (doc_id, _), group in zip(docs, brute_groups(docs)):
         least[group] = min(doc_id, least.get(group, doc_id))
     docs = [d for d in docs if d[0] in set(least.values())]
     taken = {d: t for d, _, _, _, t in brute_mix([(d, t, source[d]) for d, t in docs])}

@@ -38,21 +38,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = docs.select("doc_id", F.xxhash64("text").alias("same"), F.regexp_extract_all(text, F.lit(CANDIDATE), 0).alias("hits"), text.alias("text"))
     cut = cut.where(F.size("hits") > 0).withColumn("gaps", F.split("text", CANDIDATE, -1))
+    sizes = F.zip_with("hits", F.slice("gaps", F.lit(1), F.size("hits")), lambda hit, gap: F.char_length(hit) + F.char_length(gap))
+    grown = F.aggregate(sizes, F.array(F.lit(0).cast("long")), lambda ends, n: F.concat(ends, F.array(F.element_at(ends, -1) + n)))
+    cut = cut.withColumn("ends", grown)
     near = F.transform(
         "hits",
         lambda hit, i: F.struct(
+            (F.element_at("ends", i + 1) + F.char_length(F.get("gaps", i))).alias("start"),
             hit.alias("candidate"),
-            F.char_length(F.get("gaps", i)).alias("gap"),
             F.right(F.get("gaps", i), F.lit(CONTEXT)).alias("before"),
             F.left(F.get("gaps", i + 1), F.lit(CONTEXT)).alias("after"),
         ),
     )
-    rows = cut.select("doc_id", "same", F.posexplode(near).alias("n", "hit")).select("doc_id", "same", "n", "hit.*")
-    earlier = Window.partitionBy("doc_id", "same").orderBy("n").rangeBetween(Window.unboundedPreceding, -1)
-    ends = F.coalesce(F.sum(F.col("gap") + F.char_length("candidate")).over(earlier), F.lit(0))
-    copies = F.count("*").over(Window.partitionBy("doc_id", "same", "n"))
-    rows = rows.withColumn("ends", ends).withColumn("copies", copies)
-    return rows.select("doc_id", "same", (F.col("ends") / F.col("copies") + F.col("gap")).cast("long").alias("start"), "candidate", "before", "after")
+    rows = cut.select("doc_id", "same", F.explode(near).alias("hit")).select("doc_id", "same", "hit.*")
+    return rows.select("doc_id", "same", "start", "candidate", "before", "after")
 
 
 def dictionary(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -79,7 +78,7 @@ def features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add the columns FEATURES to rows that have candidate, before and after.
 
     Transitions and dictionary coverage are worked out once per distinct candidate, by joins on its pairs and letter runs;
-    a candidate that many rows share is one row there.
+    a candidate that many rows share is one row there.  The result is written, so that the stage of the forest holds nothing else.
     """
     texts = stored(found.select("candidate").distinct().withColumn("lower", F.lower("candidate")), "candidates")
     at = F.sequence(F.lit(1), F.char_length("lower") - 1)
@@ -90,7 +89,7 @@ def features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
     per = stored(steps.join(known, "candidate", "left"), "candidate-features")
     rows = found.join(per, "candidate")
     last, first = F.col("before"), F.col("after")
-    return rows.select(
+    rated = rows.select(
         *found.columns,
         F.char_length("candidate").cast("double").alias("chars"),
         _share("[0-9]").alias("digits"),
@@ -109,6 +108,7 @@ def features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
         F.right(last, F.lit(30)).rlike(SECRET_WORDS).cast("double").alias("secret_word"),
         F.right(last, F.lit(30)).rlike(PLAIN_WORDS).cast("double").alias("plain_word"),
     )
+    return stored(rated, "features")
 
 
 def made_findings(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:

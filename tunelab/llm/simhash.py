@@ -161,12 +161,14 @@ def first_of_groups(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     judged = found.join(first, "root")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("same") == F.col("first_same"))
     judged = judged.select(F.col("doc_id").alias("of_id"), F.col("same").alias("of_same"), stays.alias("stays"), "n")
-    here = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_same"))
-    rest = docs.join(judged.where(~F.col("stays")), here, "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("same"))
+    here = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("same") == F.col("of_same"))
+    rest = rows.join(judged.where(~F.col("stays")), here, "left_anti")
+    if judged.where("stays and n > 1").isEmpty():
+        return rest.select("row.*")
     once = rest.join(judged.where("stays and n = 1"), here, "left_semi")
-    return rest if judged.where("stays and n > 1").isEmpty() else once.union(_one_each(rest.join(judged.where("stays and n > 1"), here, "left_semi")))
+    return once.union(_one_each(rest.join(judged.where("stays and n > 1"), here, "left_semi"))).select("row.*")
 
 
 def _one_each(rows: DataFrame) -> DataFrame:
-    numbered = rows.select(F.struct(*rows.columns).alias("row"), F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("same"))
-    return numbered.dropDuplicates(["id", "same"]).select("row.*")
+    return rows.withColumn("id", F.coalesce("id", F.lit(-1))).dropDuplicates(["id", "same"])
