@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -25,12 +26,13 @@ PERCENT = 100
 #: Bytes of text whose phrases are counted at once; longer texts are cut where no phrase goes on.
 UNIT = 1 << 20
 #: Words that a task knows by number, and hashed phrases that it adds up, before it passes them on and starts anew.
-WORDS, ADDED = 1 << 19, 1 << 20
+WORDS, ADDED = 1 << 19, 1 << 21
+#: Phrases of a range whose hashes are added up at once, about.
+RANGE = 1 << 22
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(UPPER.encode() + b"\t" + _BREAKS, LOWER.encode() + b" " + b"\n" * len(_BREAKS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_COUNTED = "lang string, k int, phrase string, hash long, n long"
 
 
 def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -39,7 +41,8 @@ def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return ((hashes * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+    """Places in a filter, by the leading 48 bits of the hashes."""
+    return (((hashes >> np.uint64(16)) * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _phrase_hash(lang: str, phrase: str) -> int:
@@ -110,6 +113,19 @@ class Asked(NamedTuple):
         return np.ones(len(hashes), bool) if k > self.upto else self.known(hashes)
 
 
+class _Numbers(dict):
+    """Numbers of the words of one language; a new word gets a provisional one, from -2 down, until its unit is done."""
+
+    def __init__(self, lang: str, new: list[tuple[_Numbers, bytes]]):
+        self.lang, self.new = lang, new
+        self[b"."] = -1
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append((self, word))
+        self[word] = number = -1 - len(self.new)
+        return number
+
+
 class _Words:
     """Numbers and hashes of the words of a task, per language; words that are not known are breaks like those between pieces."""
 
@@ -117,27 +133,36 @@ class _Words:
         self.asked = asked
         self.words: list[bytes] = []
         self.langs: list[str] = []
-        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.numbers: dict[str, _Numbers] = {}
+        self.new: list[tuple[_Numbers, bytes]] = []
         self.hashes = np.zeros(0, np.uint64)
         self.counts = np.zeros(0, np.int64)
 
-    def symbols(self, lang: str, data: bytes) -> np.ndarray:
-        words = data.replace(b"\n", b" . ").split()
-        own = self.numbers.setdefault(lang, {b".": -1})
-        new = [w for w in set(words) if w not in own]
-        if new:
-            seed = xxhash.xxh32_intdigest(lang)
-            hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in new], np.uint64)
-            known = self.asked.passes(hashes, 1) if self.asked.known else np.ones(len(new), bool)
-            at = len(self.words)
-            self.hashes = np.concatenate([self.hashes, hashes[known]])
-            for word, is_known in zip(new, known.tolist()):
-                own[word] = at if is_known else -1
-                if is_known:
+    def __len__(self) -> int:
+        return sum(map(len, self.numbers.values()))
+
+    def symbols(self, unit: list[tuple[str, bytes]]) -> np.ndarray:
+        found = []
+        for lang, data in unit:
+            own = self.numbers.get(lang)
+            if own is None:
+                own = self.numbers[lang] = _Numbers(lang, self.new)
+            found.append(np.array([*map(own.__getitem__, data.replace(b"\n", b" . ").split()), -1], np.int64))
+        every = np.concatenate(found)
+        if self.new:
+            seeds = {lang: xxhash.xxh32_intdigest(lang) for lang in self.numbers}
+            hashes = np.array([xxhash.xxh64_intdigest(word, seeds[own.lang]) for own, word in self.new], np.uint64)
+            known = self.asked.passes(hashes, 1)
+            final = np.where(known, len(self.words) + np.cumsum(known) - 1, -1)
+            for (own, word), number in zip(self.new, final.tolist()):
+                own[word] = number
+                if number >= 0:
                     self.words.append(word)
-                    self.langs.append(lang)
-                    at += 1
-        return np.array([*map(own.__getitem__, words), -1], np.int64)
+                    self.langs.append(own.lang)
+            self.hashes = np.concatenate([self.hashes, hashes[known]])
+            self.new.clear()
+            every = np.where(every < -1, final[np.clip(-2 - every, 0, len(final) - 1)], every)
+        return every
 
 
 def _units(langs: list[str], texts: list[str]) -> Iterator[list[tuple[str, bytes]]]:
@@ -160,24 +185,17 @@ def _units(langs: list[str], texts: list[str]) -> Iterator[list[tuple[str, bytes
         yield unit
 
 
-def _counts(langs, k: int, phrases, hashes, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(counts)
-    columns = [
-        pa.nulls(n, pa.string()) if langs is None else pa.array(langs, pa.string()),
-        pa.array(np.full(n, k, np.int32)),
-        pa.nulls(n, pa.string()) if phrases is None else pa.array(phrases, pa.string()),
-        pa.nulls(n, pa.int64()) if hashes is None else pa.array(hashes.view(np.int64)),
-        pa.array(counts.astype(np.int64)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "hash", "n"])
+def _counts(langs: list, k: int, phrases: list, counts: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(langs, pa.string()), pa.array(np.full(len(langs), k, np.int32)), pa.array(phrases, pa.string()), pa.array(counts.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
 
 
 def _word_counts(words: _Words) -> Iterator[pa.RecordBatch]:
     """Occurrences of the words so far, and with k = 0 those of all words of a language."""
     if words.words:
-        yield _counts(words.langs, 1, words.words, None, words.counts)
+        yield _counts(words.langs, 1, words.words, words.counts)
         langs, of = np.unique(np.array(words.langs, object).astype(str), return_inverse=True)
-        yield _counts(langs.tolist(), 0, [""] * len(langs), None, np.bincount(of, words.counts, len(langs)).astype(np.int64))
+        yield _counts(langs.tolist(), 0, [""] * len(langs), np.bincount(of, words.counts, len(langs)))
 
 
 def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -> Iterator[tuple[int, list | None, list | None, np.ndarray, np.ndarray]]:
@@ -186,7 +204,7 @@ def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -
     Words are numbered, longer phrases by the number of the phrase without its last word and that word, so equal
     numbers mean equal phrases.
     """
-    every = np.concatenate([words.symbols(lang, data) for lang, data in unit])
+    every = words.symbols(unit)
     if asked.longest == 1:
         words.counts = np.concatenate([words.counts, np.zeros(len(words.words) - len(words.counts), np.int64)])
         words.counts += np.bincount(every[every >= 0], minlength=len(words.words))
@@ -227,46 +245,96 @@ def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -
 
 
 def counted(texts: DataFrame, asked: Asked) -> DataFrame:
-    """(lang, k, phrase, hash, n): occurrences in (lang, text) of the phrases that are asked for, by text or by hash.
+    """(lang, k, phrase, n): occurrences in (lang, text) of the phrases that are asked for; with words asked for, k = 0 has those of a language.
 
-    Each task adds up words, hashed phrases and the phrases of a unit before anything is shuffled.  With words asked
-    for, k = 0 has the words of a language.
+    Each task adds up the words, and the phrases of a unit, before anything is shuffled.
     """
     bounded_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(asked)
-        added: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for unit in (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            for k, langs, phrases, _, counts in _phrase_counts(unit, words, asked):
+                yield _counts(langs, k, phrases, counts)
+            if len(words) >= WORDS:
+                yield from _word_counts(words) if asked.longest == 1 else ()
+                words = _Words(asked)
+        yield from _word_counts(words) if asked.longest == 1 else ()
 
-        def hashed() -> Iterator[pa.RecordBatch]:
-            for k, parts in added.items():
-                hashes, of = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
-                yield _counts(None, k, None, hashes, np.bincount(of, np.concatenate([n for _, n in parts]), len(hashes)))
-            added.clear()
+    found = texts.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
+    return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
+
+def with_border(texts: DataFrame, asked: Asked, least: int, bits: int) -> DataFrame:
+    """(lang, k, phrase, hash, n): proposed phrases by text and the border by hash, those with ``least`` occurrences or more.
+
+    Each task adds up both, and passes the border on as ranges of hashes, nine bytes each; a range is added up at once.
+    Hashes are cut to 48 bits: those that coincide are counted together.
+    """
+    bounded_batches(texts.sparkSession)
+    names = ["range", "lang", "k", "phrase", "n", "hashes", "counts"]
+
+    def shown(added: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
+        langs, ks, phrases = ([key[i] for key in added] for i in range(3))
+        ranges = [xxhash.xxh64_intdigest(p) >> (64 - bits) if bits else 0 for p in phrases]
+        nothing = pa.nulls(len(added), pa.binary())
+        columns = [pa.array(ranges, pa.int64()), pa.array(langs, pa.string()), pa.array(ks, pa.int32()), pa.array(phrases, pa.string()), pa.array([*added.values()], pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, nothing, nothing], names=names)
+
+    def hidden(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, of = np.unique(np.concatenate([h for h, _ in parts]) >> np.uint64(16), return_inverse=True)
+        counts = np.bincount(of, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.uint32)
+        ranges, first = np.unique(hashes >> np.uint64(48 - bits), return_index=True)
+        ends = [*first[1:].tolist(), len(hashes)]
+        low = hashes.view(np.uint8).reshape(-1, 8)[:, :6]
+        blobs = [pa.array([x[a:b].tobytes() for a, b in zip(first.tolist(), ends)], pa.binary()) for x in (low, counts)]
+        none = [pa.nulls(len(ranges), t) for t in (pa.string(), pa.int32(), pa.string(), pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int64)), *none, *blobs], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, added, parts, held = _Words(asked), {}, [], 0
         for unit in (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             for k, langs, phrases, hashes, counts in _phrase_counts(unit, words, asked):
                 if phrases is None:
-                    added.setdefault(k, []).append((hashes, counts))
-                else:
-                    yield _counts(langs, k, phrases, None, counts)
-            if sum(len(h) for parts in added.values() for h, _ in parts) >= ADDED:
-                yield from hashed()
-            if sum(map(len, words.numbers.values())) >= WORDS:
-                yield from _word_counts(words) if asked.longest == 1 else ()
+                    parts.append((hashes, counts))
+                    held += len(hashes)
+                    continue
+                for key, n in zip(zip(langs, [k] * len(langs), phrases), counts.tolist()):
+                    added[key] = added.get(key, 0) + n
+            if held >= ADDED:
+                yield hidden(parts)
+                parts, held = [], 0
+            if len(added) >= ADDED // 4:
+                yield shown(added)
+                added = {}
+            if len(words) >= WORDS:
                 words = _Words(asked)
-        yield from hashed()
-        yield from _word_counts(words) if asked.longest == 1 else ()
-
-    found = texts.select("lang", "text").mapInArrow(run, _COUNTED)
-    return found.groupBy("lang", "k", "phrase", "hash").agg(F.sum("n").alias("n"))
+        if parts:
+            yield hidden(parts)
+        yield shown(added)
+
+    def add_up(rows: pd.DataFrame) -> pd.DataFrame:
+        texts = rows[rows["phrase"].notna()].groupby(["lang", "k", "phrase"], as_index=False)["n"].sum()
+        texts = texts[texts["n"] >= least].assign(hash=None)
+        blobs = rows[rows["phrase"].isna()]
+        size = sum(map(len, blobs["hashes"])) // 6
+        wide = np.zeros((size, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(b"".join(blobs["hashes"]), np.uint8).reshape(-1, 6)
+        hashes, of = np.unique(wide.reshape(-1).view(np.uint64), return_inverse=True)
+        n = np.bincount(of, np.frombuffer(b"".join(blobs["counts"]), np.uint32), len(hashes)).astype(np.int64)
+        often = n >= least
+        border = pd.DataFrame({"lang": None, "k": None, "phrase": None, "n": n[often], "hash": (hashes[often] << np.uint64(16)).view(np.int64)})
+        return pd.concat([x[["lang", "k", "phrase", "hash", "n"]].astype({"k": "Int32", "hash": "Int64"}) for x in (texts, border)])
+
+    found = texts.select("lang", "text").mapInArrow(run, "range long, lang string, k int, phrase string, n long, hashes binary, counts binary")
+    return found.groupBy("range").applyInPandas(add_up, "lang string, k int, phrase string, hash long, n long")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, every: int = EVERY) -> DataFrame:
     """(lang, k, phrase, n): all phrases of one to ``longest`` words with ``least`` occurrences in a language; k = 0 has its words.
 
     1. Words are counted in a full pass.  2. A sample of one in ``every`` documents is mined level by level at a
-    lowered threshold.  3. A full pass counts what the sample proposed, and by 64-bit hashes its negative border, the phrases that are not
+    lowered threshold.  3. A full pass counts what the sample proposed, and by hashes its negative border, the phrases that are not
     proposed themselves while both parts of them, without the first and without the last word, are.  A hash counts at least as
     often as each phrase that has it, so no frequent one is missed.  4. As long as the border fails, because a phrase or a hash in it
     turned out frequent, another full pass counts that and what it adds to the border.  Counts are exact whatever the sample holds.
@@ -286,7 +354,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         longer = counted(sample, Asked(3, longest, Filter(proposed), 2)).where(F.col("n") >= few)
         proposed = proposed.union(stored(longer.select(*columns), "sample-phrases"))
     passes = [Asked(2, longest, Filter(proposed), longest, proposed=True)]
-    new = stored(counted(texts, passes[0]).where(F.col("n") >= least), "phrases")
+    total = words.where("k = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(24, ((longest - 1) * total // RANGE).bit_length())
+    new = stored(with_border(texts, passes[0], least, bits), "phrases")
     found = new.where("phrase is not null").select(*columns)
     border = new.where("phrase is null").select("hash")
     failed = None if border.isEmpty() else Filter(border)
