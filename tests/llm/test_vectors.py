@@ -103,3 +103,9 @@ def test_empty_tables(spark):
     none = frame(spark, [(1, [1.0])]).limit(0)
     assert topk.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
     assert embedding_dedup.near_duplicates(none).count() == 0
+
+
+def test_vectors_that_share_an_id_are_linked_by_what_they_hold(spark):
+    rows = [(5, [1.0, 0.0]), (5, [1.0, 0.1]), (5, [0.0, 1.0]), (7, [0.1, 1.0]), (3, [-1.0, 0.0]), (3, [-1.0, 0.1]), (9, [-1.0, 0.1])]
+    found = embedding_dedup.near_duplicates(frame(spark, rows))
+    assert rows_of(found, "vec_id", "n_links", "component_id", "kept") == brute_links(rows)

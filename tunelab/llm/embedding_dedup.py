@@ -150,7 +150,7 @@ def compare(members: pd.DataFrame, queries: pd.DataFrame, index: Index, cosine:
 def _links(classes: DataFrame, count: int, cosine: float) -> DataFrame:
     """(a, b, n) over all blocks of all lists, for the distinct unit vectors of one length."""
     dim = classes.select(F.size("v")).first()[0]
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(max(256, SAMPLE_NUMBERS // max(1, dim))).select("v").toPandas()
+    sample = classes.orderBy(F.xxhash64("v"), "k2").limit(max(256, SAMPLE_NUMBERS // max(1, dim))).select("v").toPandas()
     index = fit(_padded(sample["v"].to_list()), count, cosine)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,8 +206,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     length = F.sqrt(F.aggregate("s", F.lit(0.0), lambda t, x: t + x * x))
     rows = rows.withColumn("length", length).withColumn("v", F.transform("s", lambda x: x / F.col("length")))
     rows = stored(rows.select("vec_id", "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2")), "unit-vectors")
-    classes = rows.where("v is not null").groupBy("k1", "k2", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    classes = stored(classes, "vector-classes")
+    classes = rows.where("v is not null").groupBy("k1", "k2", "v").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+    # a class has a number of its own, since a vec_id that repeats may be the first of several
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     found = None
     for r in classes.groupBy(F.size("v").alias("dim")).count().collect():
         own = _links(classes.where(F.size("v") == r["dim"]), r["count"], cosine)
@@ -217,9 +218,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = stored(found, "vector-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     roots = components(found.where("b is not null"), "a", "b")
-    named = classes.select("k1", "k2", "rep", "n").join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
-    named = named.select("k1", "k2", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("root", "rep").alias("component"))
-    named = stored(named, "vector-components")
+    named = classes.select("k1", "k2", "rep", "first", "n").join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
+    links = (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("links")
+    named = stored(named.select("k1", "k2", "first", links, F.coalesce("root", "rep").alias("root")), "vector-roots")
+    least = stored(named.groupBy("root").agg(F.min("first").alias("component")), "vector-firsts")
+    named = stored(named.join(least, "root").select("k1", "k2", "links", "component"), "vector-components")
     keyed = rows.select("vec_id", F.when(F.col("v").isNotNull(), F.col("k1")).alias("k1"), "k2")
     joined = keyed.join(named, ["k1", "k2"], "left")
     component = F.coalesce("component", "vec_id")
