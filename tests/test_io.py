@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tunelab import session
-from tunelab.operators import checkpoints, generate, runs, scoring
+from tunelab.operators import checkpoints, generate, report, runs, scoring
 from tunelab.operators import runs as run_ops
 from tunelab.plans import jobs
 from tunelab.plans.params import BenchmarkJob, GenerateJob, PrepareJob, ScoreJob
@@ -196,6 +196,18 @@ def test_checkpoints_and_adapters(spark, tmp_path):
         readers.list_checkpoints(spark, str(tmp_path / "nope"))
 
 
+def test_cells_of_wide_exports(spark, tmp_path):
+    write(tmp_path / "a.csv", 'name,"lr1e-4_r8_lora_8B/mcq_4_choices/accuracy",lr1e-3_r2_lora_70B/mcq_4_choices/accuracy,other,"x,y"\n'
+          'grid_8B_lora_x,0.5,0.25,7,"p,q"\n"grid_70B_lora, y",,NaN,,\nlr_lora_8B_lora_70B,n/a,1e-1,,\n')
+    write(tmp_path / "b.csv", "lr1e-5_r4_lora_8B/mcq_4_choices/accuracy,name\n0.75,grid_8B_lora_z\n")
+    cells = readers.load_wide_cells(spark, str(tmp_path))
+    assert ("grid_8B_lora_x", "x,y", "p,q") in rows(cells) and cells.count() == 8
+    got = rows(report.benchmark_cells(cells), "model_size", "learning_rate", "lora_rank", "name", "accuracy")
+    assert got == [("70B", 1e-3, 2, "lr_lora_8B_lora_70B", 0.1), ("8B", 1e-4, 8, "grid_8B_lora_x", 0.5), ("8B", 1e-5, 4, "grid_8B_lora_z", 0.75)]
+    wide = report.unpivot_benchmark(readers.load_wide_benchmark(spark, str(tmp_path / "b.csv")))
+    assert rows(wide) == rows(report.benchmark_cells(readers.load_wide_cells(spark, str(tmp_path / "b.csv"))))
+
+
 def test_listing_of_many_folders(spark, tmp_path):
     for i in range(3000):
         (tmp_path / f"m {i}%" / "checkpoint-467").mkdir(parents=True)

@@ -190,7 +190,7 @@ def learning_curves(
     run: str = "name",
     step: str = STEP_COLUMN,
 ) -> DataFrame:
-    """Loss per step of the chosen runs, per panel (model, LoRA rate ``lr``).
+    """Loss per step of the chosen runs, per panel (model, LoRA rate ``lr``); ``panel_place`` counts rates from the highest.
 
     Chosen are the first LoRA run of each representative rank and the first full
     fine-tuning run at the paired (lower) rate ``run_lr``.
@@ -205,6 +205,7 @@ def learning_curves(
     return _with_history(chosen, history, loss, run, step).select(
         "model_size",
         names.rate_text(F.col("panel")).alias("lr"),
+        F.array_position(F.array(*map(F.lit, sorted(rates, reverse=True))), F.col("panel")).cast("int").alias("panel_place"),
         "method",
         "lora_rank",
         names.rate_text(F.col("learning_rate")).alias("run_lr"),
@@ -297,7 +298,17 @@ def unpivot_benchmark(
     # per column, since there is a column per model folder.
     values = F.array(*map(quoted, metrics)).cast("array<double>")
     table = F.map_from_arrays(F.array(*map(F.lit, metrics)), values)
-    long = wide.select("name", F.explode(table).alias("metric", "accuracy"))
+    long = wide.select("name", F.explode(table).alias("metric", "value"))
+    return benchmark_cells(long, models, subset)
+
+
+def benchmark_cells(cells: DataFrame, models: Sequence[str] = MODEL_SIZES, subset: str = BENCH_SUBSET) -> DataFrame:
+    """Benchmark accuracies among the cells (name, metric, value) of wide exports, one row per value.
+
+    The same rows as :func:`unpivot_benchmark`; a value that is no number is none.
+    """
+    value = F.col("value").try_cast("double")
+    long = cells.where(F.col("metric").contains(f"{subset}/accuracy")).select("name", "metric", value.alias("accuracy"))
     fits = [
         F.when(
             F.coalesce(

@@ -103,6 +103,16 @@ def wide_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "bench").withColumn("metric", listed).groupBy("name").pivot("metric", columns).agg(F.max("value"))
 
 
+def benchmark_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark values out of wide exports, here one per name: a header of model folders and a line of values."""
+    cell = F.struct("metric", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
+    per = view(spark, sf_dir, "bench").groupBy("name").agg(F.collect_list(cell).alias("cells"))
+    header = F.concat(F.lit("name,"), F.array_join("cells.metric", ","))
+    values = F.concat(F.col("name"), F.lit(","), F.array_join("cells.value", ","))
+    lines = per.select(F.col("name").alias("path"), F.explode(F.array(header, values)).alias("value"))
+    return report.benchmark_cells(readers.wide_cells(lines))
+
+
 def messages_text() -> Column:
     turns = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     return F.array_join(turns, "\n")
@@ -718,11 +728,11 @@ def rank_plateau_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bench_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.unpivot_benchmark(wide_benchmark(spark, sf_dir))
+    return benchmark_long(spark, sf_dir)
 
 
 def bench_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = report.unpivot_benchmark(wide_benchmark(spark, sf_dir))
+    long = benchmark_long(spark, sf_dir)
     return report.benchmark_vs_loss(long, runs_with_loss(spark, sf_dir))
 
 

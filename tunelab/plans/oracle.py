@@ -157,7 +157,7 @@ chosen AS (
   JOIN pairs p ON p.full_rate = f.learning_rate
   WHERE EXISTS (SELECT 1 FROM shown s WHERE s.model_size = f.model_size AND s.panel = p.panel)),
 curves AS (
-  SELECT c.model_size, {RATE % 'c.panel'} AS lr, c.method, c.lora_rank, {RATE % 'c.learning_rate'} AS run_lr, c.name,
+  SELECT c.model_size, {RATE % 'c.panel'} AS lr, CASE c.panel WHEN 1e-3 THEN 1 WHEN 1e-4 THEN 2 WHEN 1e-5 THEN 3 WHEN 1e-6 THEN 4 END AS panel_place, c.method, c.lora_rank, {RATE % 'c.learning_rate'} AS run_lr, c.name,
          h.step, h.loss_1 AS loss
   FROM chosen c JOIN history h ON h.name = c.name AND h.loss_1 IS NOT NULL)"""
 

@@ -227,6 +227,28 @@ def load_wide_benchmark(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+def wide_cells(lines: DataFrame, key: str = "name") -> DataFrame:
+    """(name, metric, value) of every non-empty cell of wide exports, given as CSV lines (path, value).
+
+    The header of an export is its line with a cell ``key``; cells are named by their place in it.  No column has to be
+    known beforehand, none becomes a column of a plan, and exports with different columns go together.
+    """
+    cut = lines.where(F.btrim("value") != "").select("path", csv_cells(F.col("value")).alias("cells"))
+    is_header = F.array_contains("cells", key)
+    headers = cut.where(is_header).groupBy("path").agg(F.min("cells").alias("columns"))
+    rows = cut.where(~is_header).join(headers, "path")
+    named = F.transform("columns", lambda c, i: F.struct(c.alias("metric"), F.get("cells", i).alias("value")))
+    held = F.filter(named, lambda x: (x.metric != key) & (x.value != ""))
+    name = F.get("cells", F.array_position("columns", F.lit(key)).cast("int") - 1)
+    return rows.select(name.alias("name"), F.explode(held).alias("cell")).select("name", "cell.metric", "cell.value")
+
+
+def load_wide_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The non-empty cells of the wide exports in a file or folder."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    return wide_cells(lines.select("value", F.col("_metadata.file_path").alias("path")))
+
+
 def _list_in_tasks(spark: SparkSession, base: str, tasks: int, folders: bool) -> DataFrame:
     """(model_folder, path) of what lies in the folders of ``base``: their folders, or all that is in them.
 
