@@ -80,7 +80,7 @@ def test_border_failures_are_followed_until_closed(spark, monkeypatch):
 
 
 def test_a_full_filter_and_small_sums_change_nothing(spark, monkeypatch):
-    for name, value in (("MOST_BITS", 10), ("UNIT", 300), ("WORDS", 4), ("ADDED", 5), ("RANGE", 9)):
+    for name, value in (("MOST_BITS", 10), ("UNIT", 300), ("WORDS", 4), ("ADDED", 5), ("SHOWN", 6), ("RANGE", 9)):
         monkeypatch.setattr(phrases, name, value)
     rows = corpus(3, 60)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")

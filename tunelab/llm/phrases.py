@@ -25,8 +25,9 @@ PERCENT = 100
 
 #: Bytes of text whose phrases are counted at once; longer texts are cut where no phrase goes on.
 UNIT = 1 << 20
-#: Words that a task knows by number, and hashed phrases that it adds up, before it passes them on and starts anew.
-WORDS, ADDED = 1 << 19, 1 << 21
+#: Words that a task knows by number, hashed phrases and phrases that it adds up, before it passes them on and starts anew: so
+#: many that a worker needs some ten megabytes for each.
+WORDS, ADDED, SHOWN = 1 << 17, 1 << 19, 1 << 16
 #: Phrases of a range whose hashes are added up at once, about.
 RANGE = 1 << 22
 
@@ -304,7 +305,7 @@ def with_border(texts: DataFrame, asked: Asked, least: int, bits: int) -> DataFr
             if held >= ADDED:
                 yield hidden(parts)
                 parts, held = [], 0
-            if len(added) >= ADDED // 4:
+            if len(added) >= SHOWN:
                 yield shown(added)
                 added = {}
             if len(words) >= WORDS:
