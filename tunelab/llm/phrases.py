@@ -27,7 +27,7 @@ PERCENT = 100
 UNIT = 1 << 20
 #: Words that a task knows by number, hashed phrases and phrases that it adds up, before it passes them on and starts anew: so
 #: many that a worker needs some ten megabytes for each.
-WORDS, ADDED, SHOWN = 1 << 17, 1 << 19, 1 << 16
+WORDS, ADDED, SHOWN = 1 << 18, 1 << 19, 1 << 16
 #: Phrases of a range whose hashes are added up at once, about.
 RANGE = 1 << 22
 
