@@ -67,9 +67,9 @@ def test_any_sample_gives_the_same(spark, every, least):
 def test_border_failures_are_followed_until_closed(spark, monkeypatch):
     """Without any proposal every level fails in turn, and each phrase is counted in one pass only."""
     passes = []
-    plain, border = phrases.counted, phrases.with_border
+    plain, border = phrases.counted, phrases.frequent_hashes
     monkeypatch.setattr(phrases, "counted", lambda texts, asked: passes.append(asked) or plain(texts, asked))
-    monkeypatch.setattr(phrases, "with_border", lambda texts, asked, *more: passes.append(asked) or border(texts, asked, *more))
+    monkeypatch.setattr(phrases, "frequent_hashes", lambda texts, asked, *more: passes.append(asked) or border(texts, asked, *more))
     df = spark.createDataFrame([(i, "one two three four five six. two one", "en") for i in range(9)], "doc_id long, text string, lang string")
     found = phrases.frequent_phrases(df, 9, every=10**9)
     assert found.groupBy("lang", "k", "phrase").count().where("count > 1").isEmpty()
@@ -80,7 +80,7 @@ def test_border_failures_are_followed_until_closed(spark, monkeypatch):
 
 
 def test_a_full_filter_and_small_sums_change_nothing(spark, monkeypatch):
-    for name, value in (("MOST_BITS", 10), ("UNIT", 300), ("WORDS", 4), ("ADDED", 5), ("SHOWN", 6), ("RANGE", 9)):
+    for name, value in (("MOST_BITS", 10), ("UNIT", 300), ("WORDS", 4), ("ADDED", 5), ("RANGE", 9)):
         monkeypatch.setattr(phrases, name, value)
     rows = corpus(3, 60)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")

@@ -25,9 +25,9 @@ PERCENT = 100
 
 #: Bytes of text whose phrases are counted at once; longer texts are cut where no phrase goes on.
 UNIT = 1 << 20
-#: Words that a task knows by number, hashed phrases and phrases that it adds up, before it passes them on and starts anew: so
+#: Words that a task knows by number, and hashed phrases that it adds up, before it passes them on and starts anew: so
 #: many that a worker needs some ten megabytes for each.
-WORDS, ADDED, SHOWN = 1 << 18, 1 << 19, 1 << 16
+WORDS, ADDED = 1 << 18, 1 << 20
 #: Phrases of a range whose hashes are added up at once, about.
 RANGE = 1 << 22
 
@@ -98,15 +98,15 @@ class Filter:
 class Asked(NamedTuple):
     """What a pass counts: phrases of ``shortest`` to ``longest`` words whose parts, without the first and the last word, are ``known``.
 
-    Of parts longer than ``upto`` nothing is known, so all pass.  With ``proposed`` true only known phrases are counted by their text, the border
-    by its hashes.  What ``earlier`` passes have counted is left out, but for the hashes that turned out frequent, ``failed``.
+    Of parts longer than ``upto`` nothing is known, so all pass.  With ``hashed`` true phrases are counted by their hashes.  What ``earlier``
+    passes have counted is left out, but for the hashes that turned out frequent, ``failed``.
     """
 
     shortest: int
     longest: int
     known: Filter | None = None
     upto: int = 0
-    proposed: bool = False
+    hashed: bool = False
     earlier: tuple[Asked, ...] = ()
     failed: Filter | None = None
 
@@ -200,7 +200,7 @@ def _word_counts(words: _Words) -> Iterator[pa.RecordBatch]:
 
 
 def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -> Iterator[tuple[int, list | None, list | None, np.ndarray, np.ndarray]]:
-    """(k, langs, phrases, hashes, counts) of the phrases of a unit, first those with a text, then those by hash.
+    """(k, langs, phrases, hashes, counts) of the phrases of a unit, without language and text if only hashes are asked for.
 
     Words are numbered, longer phrases by the number of the phrase without its last word and that word, so equal
     numbers mean equal phrases.
@@ -232,17 +232,16 @@ def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -
         new = np.ones(len(unique), bool)
         for c, e in zip(counted, asked.earlier):
             new &= ~c
-            if e.proposed and asked.failed:  # its border was counted by hash: what failed there is counted again
-                new |= c & ~e.passes(hashes, k) & asked.failed(hashes)
+            if e.hashed and asked.failed:  # what is frequent by its hash is counted again by its text
+                new |= c & asked.failed(hashes)
         found = np.bincount(number, minlength=len(unique))
-        shown = np.flatnonzero(new & asked.passes(hashes, k) if asked.proposed else new)
-        if len(shown):
+        shown = np.flatnonzero(new)
+        if asked.hashed:
+            yield k, None, None, hashes[shown], found[shown]
+        elif len(shown):
             parts = [every[first[shown] + o].tolist() for o in range(k)]
             names = [[words.words[i] for i in part] for part in parts]
             yield k, [words.langs[i] for i in parts[0]], [*map(b" ".join, zip(*names))], hashes[shown], found[shown]
-        if asked.proposed:
-            border = np.flatnonzero(new & ~asked.passes(hashes, k))
-            yield k, None, None, hashes[border], found[border]
 
 
 def counted(texts: DataFrame, asked: Asked) -> DataFrame:
@@ -266,79 +265,58 @@ def counted(texts: DataFrame, asked: Asked) -> DataFrame:
     return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
-def with_border(texts: DataFrame, asked: Asked, least: int, bits: int) -> DataFrame:
-    """(lang, k, phrase, hash, n): proposed phrases by text and the border by hash, those with ``least`` occurrences or more.
+def frequent_hashes(texts: DataFrame, asked: Asked, least: int, bits: int) -> DataFrame:
+    """(hash): those of the phrases that are asked for which occur ``least`` times or more.
 
-    Each task adds up both, and passes the border on as ranges of hashes, nine bytes each; a range is added up at once.
-    Hashes are cut to 48 bits: those that coincide are counted together.
+    Each task adds up hashes and passes them on as ranges, ten bytes each; a range is added up at once.
+    Hashes are cut to 48 bits: those that coincide are counted together, so none is missed.
     """
     bounded_batches(texts.sparkSession)
-    names = ["range", "lang", "k", "phrase", "n", "hashes", "counts"]
 
-    def shown(added: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
-        langs, ks, phrases = ([key[i] for key in added] for i in range(3))
-        ranges = [xxhash.xxh64_intdigest(p) >> (64 - bits) if bits else 0 for p in phrases]
-        nothing = pa.nulls(len(added), pa.binary())
-        columns = [pa.array(ranges, pa.int64()), pa.array(langs, pa.string()), pa.array(ks, pa.int32()), pa.array(phrases, pa.string()), pa.array([*added.values()], pa.int64())]
-        return pa.RecordBatch.from_arrays([*columns, nothing, nothing], names=names)
-
-    def hidden(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         hashes, of = np.unique(np.concatenate([h for h, _ in parts]) >> np.uint64(16), return_inverse=True)
         counts = np.bincount(of, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.uint32)
         ranges, first = np.unique(hashes >> np.uint64(48 - bits), return_index=True)
         ends = [*first[1:].tolist(), len(hashes)]
         low = hashes.view(np.uint8).reshape(-1, 8)[:, :6]
         blobs = [pa.array([x[a:b].tobytes() for a, b in zip(first.tolist(), ends)], pa.binary()) for x in (low, counts)]
-        none = [pa.nulls(len(ranges), t) for t in (pa.string(), pa.int32(), pa.string(), pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int64)), *none, *blobs], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int64)), *blobs], names=["range", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, added, parts, held = _Words(asked), {}, [], 0
+        words, parts, held = _Words(asked), [], 0
         for unit in (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            for k, langs, phrases, hashes, counts in _phrase_counts(unit, words, asked):
-                if phrases is None:
-                    parts.append((hashes, counts))
-                    held += len(hashes)
-                    continue
-                for key, n in zip(zip(langs, [k] * len(langs), phrases), counts.tolist()):
-                    added[key] = added.get(key, 0) + n
+            for _, _, _, hashes, counts in _phrase_counts(unit, words, asked):
+                parts.append((hashes, counts))
+                held += len(hashes)
             if held >= ADDED:
-                yield hidden(parts)
+                yield packed(parts)
                 parts, held = [], 0
-            if len(added) >= SHOWN:
-                yield shown(added)
-                added = {}
             if len(words) >= WORDS:
                 words = _Words(asked)
         if parts:
-            yield hidden(parts)
-        yield shown(added)
+            yield packed(parts)
 
     def add_up(rows: pd.DataFrame) -> pd.DataFrame:
-        texts = rows[rows["phrase"].notna()].groupby(["lang", "k", "phrase"], as_index=False)["n"].sum()
-        texts = texts[texts["n"] >= least].assign(hash=None)
-        blobs = rows[rows["phrase"].isna()]
-        size = sum(map(len, blobs["hashes"])) // 6
+        size = sum(map(len, rows["hashes"])) // 6
         wide = np.zeros((size, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(blobs["hashes"]), np.uint8).reshape(-1, 6)
+        wide[:, :6] = np.frombuffer(b"".join(rows["hashes"]), np.uint8).reshape(-1, 6)
         hashes, of = np.unique(wide.reshape(-1).view(np.uint64), return_inverse=True)
-        n = np.bincount(of, np.frombuffer(b"".join(blobs["counts"]), np.uint32), len(hashes)).astype(np.int64)
-        often = n >= least
-        border = pd.DataFrame({"lang": None, "k": None, "phrase": None, "n": n[often], "hash": (hashes[often] << np.uint64(16)).view(np.int64)})
-        return pd.concat([x[["lang", "k", "phrase", "hash", "n"]].astype({"k": "Int32", "hash": "Int64"}) for x in (texts, border)])
+        n = np.bincount(of, np.frombuffer(b"".join(rows["counts"]), np.uint32), len(hashes))
+        return pd.DataFrame({"hash": (hashes[n >= least] << np.uint64(16)).view(np.int64)})
 
-    found = texts.select("lang", "text").mapInArrow(run, "range long, lang string, k int, phrase string, n long, hashes binary, counts binary")
-    return found.groupBy("range").applyInPandas(add_up, "lang string, k int, phrase string, hash long, n long")
+    found = texts.select("lang", "text").mapInArrow(run, "range long, hashes binary, counts binary")
+    return found.groupBy("range").applyInPandas(add_up, "hash long")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, every: int = EVERY) -> DataFrame:
     """(lang, k, phrase, n): all phrases of one to ``longest`` words with ``least`` occurrences in a language; k = 0 has its words.
 
     1. Words are counted in a full pass.  2. A sample of one in ``every`` documents is mined level by level at a
-    lowered threshold.  3. A full pass counts what the sample proposed, and by hashes its negative border, the phrases that are not
+    lowered threshold.  3. A full pass counts, by hashes, what the sample proposed and its negative border, the phrases that are not
     proposed themselves while both parts of them, without the first and without the last word, are.  A hash counts at least as
-    often as each phrase that has it, so no frequent one is missed.  4. As long as the border fails, because a phrase or a hash in it
-    turned out frequent, another full pass counts that and what it adds to the border.  Counts are exact whatever the sample holds.
+    often as each phrase that has it, so no frequent one is missed.  4. The next full pass counts the phrases of frequent hashes by their
+    text, and what failures of the border add to it; as long as that holds frequent phrases, another pass follows.  Counts
+    are exact whatever the sample holds.
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), "doc_id")
     columns = ("lang", "k", "phrase", "n")
@@ -354,21 +332,20 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     if longest > 2:
         longer = counted(sample, Asked(3, longest, Filter(proposed), 2)).where(F.col("n") >= few)
         proposed = proposed.union(stored(longer.select(*columns), "sample-phrases"))
-    passes = [Asked(2, longest, Filter(proposed), longest, proposed=True)]
+    passes = [Asked(2, longest, Filter(proposed), longest, hashed=True)]
     total = words.where("k = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = min(24, ((longest - 1) * total // RANGE).bit_length())
-    new = stored(with_border(texts, passes[0], least, bits), "phrases")
-    found = new.where("phrase is not null").select(*columns)
-    border = new.where("phrase is null").select("hash")
-    failed = None if border.isEmpty() else Filter(border)
-    open_ = found.where(F.col("k") < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    while failed or not open_.isEmpty():
-        known = words.where("k = 1").union(found).select("lang", "phrase")
-        known = _hashed(known).union(border) if failed else known
-        asked = Asked(2, longest, Filter(known), longest, earlier=tuple(passes), failed=failed)
+    often = stored(frequent_hashes(texts, passes[0], least, bits), "frequent-hashes")
+    found, open_ = words.where("k > 1"), often
+    while not open_.isEmpty():
+        known = Filter(_hashed(words.where("k = 1").union(found)).select("hash").union(often))
+        failed = Filter(often) if len(passes) == 1 else None
+        asked = Asked(2, longest, known, longest, earlier=tuple(passes), failed=failed)
         new = stored(counted(texts, asked).where(F.col("n") >= least).select(*columns), "phrases")
         passes.append(asked._replace(earlier=(), failed=None))
-        found, failed, open_ = found.union(new), None, new.where(F.col("k") < longest)
+        found = found.union(new)
+        cut = F.shiftleft(F.shiftright("hash", 16), 16).alias("hash")
+        open_ = _hashed(new.where(F.col("k") < longest)).select(cut).join(often, "hash", "left_anti")
     return words.union(found)
 
 
