@@ -116,3 +116,24 @@ def test_awkward_documents(documents, no_documents):
     rows = [("en", t) for _, t, _ in TEXTS]
     assert rows_of(phrases.collocations(documents, 2), *COLUMNS) == brute_collocations(rows, 2)
     assert rows_of(phrases.collocations(no_documents), *COLUMNS) == []
+
+
+def test_later_passes_count_only_around_what_failed(spark, monkeypatch):
+    """Nothing is proposed, so pass after pass follows; a phrase without a fresh one in it is not counted again."""
+    counted, plain = [], phrases.counted
+    monkeypatch.setattr(phrases, "counted", lambda texts, asked: counted.append((asked, plain(texts, asked))) or counted[-1][1])
+    rows = [(i, f"one two three four five six. two one own{i} own{i + 1}. four four", "en") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = brute_collocations([("en", t) for _, t, _ in rows], 9)
+    assert rows_of(phrases.collocations(df, 9, every=10**9), *COLUMNS) == want
+    later = [(asked, {r["phrase"] for r in found.collect()}) for asked, found in counted if len(asked.earlier) > 1]
+    assert later and all(asked.fresh is not None for asked, _ in later)
+    assert not any("own" in p or "four four" in p for _, found in later for p in found)
+
+
+def test_phrases_of_one_hash_are_told_apart():
+    hashes = phrases.np.array([7, 7, 9, 7, 7, 9], phrases.np.uint64)
+    parts = [phrases.np.array(x) for x in ([1, 2, 3, 1, 2, 3], [5, 5, 6, 5, 6, 6])]
+    first, counts = phrases._alike(hashes, parts)
+    found = {tuple(int(p[i]) for p in parts): int(n) for i, n in zip(first, counts)}
+    assert found == {(1, 5): 2, (2, 5): 1, (2, 6): 1, (3, 6): 2}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,8 +19,8 @@ from tunelab.llm.common import LOWER, UPPER, bounded_batches, stored
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: One document in so many is in the sample.
 EVERY = 8
-#: Bits of a filter: so many per phrase, but never more than the most, 8 MB.
-BITS_EACH, MOST_BITS = 16, 26
+#: Bits of a filter: so many per phrase, of which two are set, but never more than the most, 8 MB.
+BITS_EACH, MOST_BITS = 32, 26
 #: A phrase goes that a longer one holds in so many of a hundred of its occurrences.
 PERCENT = 100
 
@@ -33,7 +34,7 @@ RANGE = 1 << 22
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(UPPER.encode() + b"\t" + _BREAKS, LOWER.encode() + b" " + b"\n" * len(_BREAKS))
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -41,9 +42,9 @@ def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+def _slots(hashes: np.ndarray, bits: int, mix: np.uint64) -> np.ndarray:
     """Places in a filter, by the leading 48 bits of the hashes."""
-    return (((hashes >> np.uint64(16)) * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+    return (((hashes >> np.uint64(16)) * mix) >> np.uint64(64 - bits)).view(np.int64)
 
 
 def _phrase_hash(lang: str, phrase: str) -> int:
@@ -78,7 +79,8 @@ class Filter:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                slots = np.unique(_slots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits))
+                own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                slots = np.unique(np.concatenate([_slots(own, bits, mix) for mix in (_MIX, _MIX_2)]))
                 cells, first = np.unique(slots >> 6, return_index=True)
                 held = np.bitwise_or.reduceat(np.int64(1) << (slots & 63), first) if len(slots) else slots
                 yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(held)], names=["cell", "held"])
@@ -91,15 +93,21 @@ class Filter:
         self.held = phrases.sparkSession.sparkContext.broadcast(words)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        slots = _slots(hashes, self.bits)
-        return (self.held.value[slots >> 6] >> (slots & 63)) & 1 == 1
+        words = self.held.value
+        slots = _slots(hashes, self.bits, _MIX)
+        found = (words[slots >> 6] >> (slots & 63)) & 1 == 1
+        first = np.flatnonzero(found)
+        slots = _slots(hashes[first], self.bits, _MIX_2)
+        found[first] = (words[slots >> 6] >> (slots & 63)) & 1 == 1
+        return found
 
 
 class Asked(NamedTuple):
     """What a pass counts: phrases of ``shortest`` to ``longest`` words whose parts, without the first and the last word, are ``known``.
 
     Of parts longer than ``upto`` nothing is known, so all pass.  With ``hashed`` true phrases are counted by their hashes.  What ``earlier``
-    passes have counted is left out, but for the hashes that turned out frequent, ``failed``.
+    passes have counted is left out, but for the hashes that turned out frequent, ``failed``.  Where phrases are ``fresh``, known since
+    the last pass only, just phrases around them are counted: the others have the parts that they had before.
     """
 
     shortest: int
@@ -109,6 +117,7 @@ class Asked(NamedTuple):
     hashed: bool = False
     earlier: tuple[Asked, ...] = ()
     failed: Filter | None = None
+    fresh: Filter | None = None
 
     def passes(self, hashes: np.ndarray, k: int) -> np.ndarray:
         return np.ones(len(hashes), bool) if k > self.upto else self.known(hashes)
@@ -137,7 +146,6 @@ class _Words:
         self.numbers: dict[str, _Numbers] = {}
         self.new: list[tuple[_Numbers, bytes]] = []
         self.hashes = np.zeros(0, np.uint64)
-        self.counts = np.zeros(0, np.int64)
 
     def __len__(self) -> int:
         return sum(map(len, self.numbers.values()))
@@ -191,57 +199,79 @@ def _counts(langs: list, k: int, phrases: list, counts: np.ndarray) -> pa.Record
     return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
 
 
-def _word_counts(words: _Words) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the words so far, and with k = 0 those of all words of a language."""
-    if words.words:
-        yield _counts(words.langs, 1, words.words, words.counts)
-        langs, of = np.unique(np.array(words.langs, object).astype(str), return_inverse=True)
-        yield _counts(langs.tolist(), 0, [""] * len(langs), np.bincount(of, words.counts, len(langs)))
+def _word_counts(unit: list[tuple[str, bytes]], known: dict[str, Counter]) -> None:
+    for lang, data in unit:
+        known.setdefault(lang, Counter()).update(data.split())
 
 
-def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -> Iterator[tuple[int, list | None, list | None, np.ndarray, np.ndarray]]:
-    """(k, langs, phrases, hashes, counts) of the phrases of a unit, without language and text if only hashes are asked for.
+def _passed_on(known: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the words so far, and with k = 0 those of all words of a language."""
+    for lang, words in known.items():
+        if words:
+            yield _counts([lang] * len(words), 1, [*words], np.fromiter(words.values(), np.int64, len(words)))
+            yield _counts([lang], 0, [""], np.array([words.total()]))
 
-    Words are numbered, longer phrases by the number of the phrase without its last word and that word, so equal
-    numbers mean equal phrases.
-    """
+
+def _around(every: np.ndarray, hashes: np.ndarray, asked: Asked) -> np.ndarray:
+    """The words ``every`` with breaks for those that no phrase with a fresh one in it can hold."""
+    bounds = np.zeros(len(every) + 1, np.int64)
+    at = np.flatnonzero(every >= 0)
+    found = hashes[every[at]]
+    for k in range(2, asked.longest):
+        both = np.flatnonzero(at[1:] == at[:-1] + 1)
+        at = at[both]
+        found = _longer(found[both], hashes[every[at + k - 1]])
+        hits = at[asked.fresh(found)]
+        bounds += np.bincount(np.maximum(hits + k - asked.longest, 0), minlength=len(bounds))
+        bounds -= np.bincount(np.minimum(hits + asked.longest, len(every)), minlength=len(bounds))
+    return np.where(np.cumsum(bounds[:-1]) > 0, every, -1)
+
+
+def _alike(hashes: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the first, counts) of equal phrases, given by hashes and by the numbers of their words."""
+    order = np.argsort(hashes)
+    differ = hashes[order[1:]] != hashes[order[:-1]]
+    if any(((p[order[1:]] != p[order[:-1]]) & ~differ).any() for p in parts):  # different phrases of one hash
+        order = np.lexsort(parts)
+        differ = np.logical_or.reduce([p[order[1:]] != p[order[:-1]] for p in parts])
+    first = np.flatnonzero(np.append(True, differ))
+    return order[first], np.diff(np.append(first, len(order)))
+
+
+def _phrases(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(k, words of the unit, places, hashes): the occurrences of phrases that are asked for."""
     every = words.symbols(unit)
-    if asked.longest == 1:
-        words.counts = np.concatenate([words.counts, np.zeros(len(words.words) - len(words.counts), np.int64)])
-        words.counts += np.bincount(every[every >= 0], minlength=len(words.words))
-        return
+    if asked.fresh:
+        every = _around(every, words.hashes, asked)
     at = np.flatnonzero(every >= 0)
-    number, hashes = every[at], words.hashes
-    counted = [np.ones(len(hashes), bool) for _ in asked.earlier]
+    hashes = words.hashes[every[at]]
+    counted = [np.ones(len(at), bool) for _ in asked.earlier]
     for k in range(2, asked.longest + 1):
-        passes = asked.passes(hashes, k - 1)
+        keep = asked.passes(hashes, k - 1)
+        both = np.flatnonzero(keep[1:] & keep[:-1] & (at[1:] == at[:-1] + 1))
         counted = [c & e.passes(hashes, k - 1) for c, e in zip(counted, asked.earlier)]
-        keep = passes[number]
-        at, number = at[keep], number[keep]
-        both = np.flatnonzero(at[1:] == at[:-1] + 1)
-        right = number[both + 1]
-        at, number = at[both], number[both]
-        last = every[at + k - 1]
-        unique, first_of, number = np.unique(number * max(1, len(words.words)) + last, return_index=True, return_inverse=True)
-        first, right = at[first_of], right[first_of]
-        left, word = unique // max(1, len(words.words)), unique % max(1, len(words.words))
-        counted = [c[left] & c[right] for c in counted]
-        hashes = _longer(hashes[left], words.hashes[word])
-        if k < asked.shortest or not len(unique):
+        counted = [c[both] & c[both + 1] for c in counted]
+        at = at[both]
+        hashes = _longer(hashes[both], words.hashes[every[at + k - 1]])
+        if k < asked.shortest or not len(at):
             continue
-        new = np.ones(len(unique), bool)
+        new = np.ones(len(at), bool)
         for c, e in zip(counted, asked.earlier):
             new &= ~c
             if e.hashed and asked.failed:  # what is frequent by its hash is counted again by its text
-                new |= c & asked.failed(hashes)
-        found = np.bincount(number, minlength=len(unique))
-        shown = np.flatnonzero(new)
-        if asked.hashed:
-            yield k, None, None, hashes[shown], found[shown]
-        elif len(shown):
-            parts = [every[first[shown] + o].tolist() for o in range(k)]
-            names = [[words.words[i] for i in part] for part in parts]
-            yield k, [words.langs[i] for i in parts[0]], [*map(b" ".join, zip(*names))], hashes[shown], found[shown]
+                of = np.flatnonzero(c)
+                new[of[asked.failed(hashes[of])]] = True
+        if new.any():
+            yield k, every, at[new], hashes[new]
+
+
+def _phrase_counts(unit: list[tuple[str, bytes]], words: _Words, asked: Asked) -> Iterator[pa.RecordBatch]:
+    for k, every, at, hashes in _phrases(unit, words, asked):
+        parts = [every[at + o] for o in range(k)]
+        first, counts = _alike(hashes, parts)
+        parts = [p[first].tolist() for p in parts]
+        names = [[words.words[i] for i in part] for part in parts]
+        yield _counts([words.langs[i] for i in parts[0]], k, [*map(b" ".join, zip(*names))], counts)
 
 
 def counted(texts: DataFrame, asked: Asked) -> DataFrame:
@@ -252,14 +282,18 @@ def counted(texts: DataFrame, asked: Asked) -> DataFrame:
     bounded_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(asked)
+        words, known = _Words(asked), {}
         for unit in (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            for k, langs, phrases, _, counts in _phrase_counts(unit, words, asked):
-                yield _counts(langs, k, phrases, counts)
+            if asked.longest == 1:
+                _word_counts(unit, known)
+            else:
+                yield from _phrase_counts(unit, words, asked)
             if len(words) >= WORDS:
-                yield from _word_counts(words) if asked.longest == 1 else ()
                 words = _Words(asked)
-        yield from _word_counts(words) if asked.longest == 1 else ()
+            if sum(map(len, known.values())) >= WORDS:
+                yield from _passed_on(known)
+                known = {}
+        yield from _passed_on(known)
 
     found = texts.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
     return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
@@ -273,9 +307,18 @@ def frequent_hashes(texts: DataFrame, asked: Asked, least: int, bits: int) -> Da
     """
     bounded_batches(texts.sparkSession)
 
+    def summed(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if counts is None:
+            hashes = np.sort(hashes)
+        else:
+            order = np.argsort(hashes)
+            hashes, counts = hashes[order], counts[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        return hashes[first], np.diff(np.append(first, len(hashes))) if counts is None else np.add.reduceat(counts, first)
+
     def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        hashes, of = np.unique(np.concatenate([h for h, _ in parts]) >> np.uint64(16), return_inverse=True)
-        counts = np.bincount(of, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.uint32)
+        hashes, counts = summed(np.concatenate([h for h, _ in parts]), np.concatenate([n for _, n in parts]))
+        counts = counts.astype(np.uint32)
         ranges, first = np.unique(hashes >> np.uint64(48 - bits), return_index=True)
         ends = [*first[1:].tolist(), len(hashes)]
         low = hashes.view(np.uint8).reshape(-1, 8)[:, :6]
@@ -285,9 +328,10 @@ def frequent_hashes(texts: DataFrame, asked: Asked, least: int, bits: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, parts, held = _Words(asked), [], 0
         for unit in (unit for batch in batches for unit in _units(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            for _, _, _, hashes, counts in _phrase_counts(unit, words, asked):
-                parts.append((hashes, counts))
-                held += len(hashes)
+            found = [hashes for *_, hashes in _phrases(unit, words, asked)]
+            if found:
+                parts.append(summed(np.concatenate(found) >> np.uint64(16)))
+                held += len(parts[-1][0])
             if held >= ADDED:
                 yield packed(parts)
                 parts, held = [], 0
@@ -300,8 +344,7 @@ def frequent_hashes(texts: DataFrame, asked: Asked, least: int, bits: int) -> Da
         size = sum(map(len, rows["hashes"])) // 6
         wide = np.zeros((size, 8), np.uint8)
         wide[:, :6] = np.frombuffer(b"".join(rows["hashes"]), np.uint8).reshape(-1, 6)
-        hashes, of = np.unique(wide.reshape(-1).view(np.uint64), return_inverse=True)
-        n = np.bincount(of, np.frombuffer(b"".join(rows["counts"]), np.uint32), len(hashes))
+        hashes, n = summed(wide.reshape(-1).view(np.uint64), np.frombuffer(b"".join(rows["counts"]), np.uint32).astype(np.int64))
         return pd.DataFrame({"hash": (hashes[n >= least] << np.uint64(16)).view(np.int64)})
 
     found = texts.select("lang", "text").mapInArrow(run, "range long, hashes binary, counts binary")
@@ -340,9 +383,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     while not open_.isEmpty():
         known = Filter(_hashed(words.where("k = 1").union(found)).select("hash").union(often))
         failed = Filter(often) if len(passes) == 1 else None
-        asked = Asked(2, longest, known, longest, earlier=tuple(passes), failed=failed)
+        fresh = Filter(open_) if len(passes) > 1 else None
+        asked = Asked(2, longest, known, longest, earlier=tuple(passes), failed=failed, fresh=fresh)
         new = stored(counted(texts, asked).where(F.col("n") >= least).select(*columns), "phrases")
-        passes.append(asked._replace(earlier=(), failed=None))
+        passes.append(asked._replace(earlier=(), failed=None, fresh=None))
         found = found.union(new)
         cut = F.shiftleft(F.shiftright("hash", 16), 16).alias("hash")
         open_ = _hashed(new.where(F.col("k") < longest)).select(cut).join(often, "hash", "left_anti")
