@@ -27,7 +27,10 @@ def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, 0.8 or more): that of the smallest doc_id."""
+    """One document of each group of near duplicates (five-word shingles, 0.8 or more): that of the smallest doc_id.
+
+    SimHash proposes links, which are checked exactly; an exact way finds those beyond its radius.
+    """
     return near_dup.representatives(docs)
 
 

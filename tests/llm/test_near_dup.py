@@ -92,3 +92,32 @@ def test_ranges_and_buckets_of_any_size(spark, monkeypatch):
     for name, value in (("RANGE", 500), ("BUCKET", 20), ("UNIT", 300), ("SEEN", 3)):
         monkeypatch.setattr(near_dup, name, value)
     assert sorted(r["doc_id"] for r in near_dup.representatives(docs).collect()) == brute_kept(rows)
+
+
+def test_simhash_proposes_what_its_bits_show(spark):
+    """Pairs of fingerprints within the radius are proposed, joined as all pairs join them; the rest is left to shared shingles."""
+    rng = random.Random(9)
+    rows = []
+    for base in range(6):
+        words = [f"w{rng.randrange(3000)}" for _ in range(400)]
+        rows += [(10 * base + i, edited(rng, words, e)) for i, e in enumerate((0, 1, 2, 3, 12))]
+    found = {i: near_dup.shingles(t) for i, t in rows}
+    bits = {i: near_dup.fingerprint(f) for i, f in found.items()}
+    slow = {i: sum(1 << b for b in range(64) if 2 * sum((int(h) >> b) & 1 for h in f) > len(f)) for i, f in found.items()}
+    apart = {(i, j): (bits[i] ^ bits[j]).bit_count() if bits[i] ^ bits[j] >= 0 else ((bits[i] ^ bits[j]) % (1 << 64)).bit_count() for i in bits for j in bits}
+    assert all(apart[i, j] == (slow[i] ^ slow[j]).bit_count() for i, j in apart)
+    near = [p for p, n in apart.items() if p[0] < p[1] and n <= near_dup.RADIUS]
+    assert near
+    classes = spark.createDataFrame([(i, len(found[i]), bits[i]) for i in bits], "set long, size long, fp long").repartition(3)
+    pairs = {(r["a"], r["b"]) for r in near_dup._by_fingerprint(classes).collect()}
+
+    def joined(links):
+        root = {i: i for i in bits}
+        for _ in bits:
+            for i, j in links:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    assert joined(pairs) == joined(near)
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    assert sorted(r["doc_id"] for r in near_dup.representatives(docs).collect()) == brute_kept(rows)

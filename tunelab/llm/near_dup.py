@@ -1,4 +1,4 @@
-"""Near duplicates by the Jaccard similarity of word shingles: prefix filter, exact check, linked components."""
+"""Near duplicates by SimHash and the Jaccard similarity of word shingles: near fingerprints, exact check, prefix filter for the rest."""
 
 from __future__ import annotations
 
@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from tunelab.llm.common import bounded_batches, components, stored
 from tunelab.llm.simhash import first_of_groups
+from tunelab.llm.simhash import links as near_fingerprints
 
 SHINGLE = 5
 #: Two texts are near duplicates from a similarity of SHARE / OUT_OF.
 SHARE, OUT_OF = 4, 5
+#: Differing bits up to which SimHash proposes a pair; what is near beyond them is found by shared shingles.
+RADIUS = 3
 #: Documents whose shingles are counted to tell the common ones, occurrences that make one common, and common ones at most.
 SAMPLE_DOCS, COMMON, MOST = 16_000, 3, 200_000
 #: Bits of a shingle's hash that are kept below those of its range; shingles of a range and sets of a bucket, about.
@@ -47,6 +50,15 @@ def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed.view(np.int64))
 
 
+def fingerprint(found: np.ndarray, block: int = 1 << 16) -> int:
+    """Signed 64-bit SimHash of a text's shingles: bit set in over half of their hashes; none: 0."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(found), block):
+        part = found[start : start + block]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(found)).view(np.int64)[0])
+
+
 def _shingle_sets(docs: DataFrame) -> DataFrame:
     """(same, shingles) of texts, ``same`` being the hash of a text."""
     bounded_batches(docs.sparkSession)
@@ -83,8 +95,9 @@ def _common_among(found: np.ndarray, common: np.ndarray, counts: np.ndarray) ->
 
 
 def _texts(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(doc_id, same, set, size, n_common, commons) of every row; ``set`` is a hash of its shingles, equal for equal sets.
+    """(doc_id, same, set, size, n_common, commons, fp) of every row; ``set`` is a hash of its shingles, equal for equal sets.
 
+    ``fp`` is the SimHash of the set.
     ``commons`` are a text's common shingles in the order of prefixes, of texts so full of them that its prefix may hold some.
     """
     bounded_batches(docs.sparkSession)
@@ -104,11 +117,12 @@ def _texts(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFrame
                 pa.array(size),
                 pa.array(n_common),
                 pa.array(commons, pa.list_(pa.int64())),
+                pa.array([*map(fingerprint, found)], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "set", "size", "n_common", "commons"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "set", "size", "n_common", "commons", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same"))
-    return rows.mapInArrow(run, "doc_id long, same long, set long, size long, n_common long, commons array<long>")
+    return rows.mapInArrow(run, "doc_id long, same long, set long, size long, n_common long, commons array<long>, fp long")
 
 
 def _packed(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
@@ -245,6 +259,18 @@ def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.select("set").join(roots, F.col("set") == F.col("node"), "left").select("set", F.coalesce("root", "set").alias("root"))
 
 
+def _by_fingerprint(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of sets by SimHash: each with the first one of its fingerprint, and the first ones of near fingerprints."""
+    own = classes.where("size > 0").select("set", "fp")
+    first = stored(own.groupBy("fp").agg(F.min("set").alias("first")), "near-fingerprints")
+    same = own.join(first, "fp").where("set != first").select(F.col("first").alias("a"), F.col("set").alias("b"))
+    near = stored(near_fingerprints(first.select("fp"), radius), "near-bits").distinct()
+    for side in "ab":
+        near = near.join(first.select(F.col("fp").alias(side), F.col("first").alias(f"of_{side}")), side)
+    near = near.select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
+    return same.union(near)
+
+
 def _led(posts: DataFrame, own: Column) -> DataFrame:
     """Pairs (a, b) of texts with a few leaders of their lists, in a mixed order."""
     met = posts.select(own.alias("x"), F.col("leader").alias("y")).where("x.set != y.set").where(_possible("x", "y"))
@@ -266,7 +292,9 @@ def _open(posts: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame, sample: int) -> DataFrame:
     """(doc_id, same, root, component_id) of every row.
 
-    Near duplicates share a shingle of their prefixes, so the texts of one shingle are a list of candidates.  Every shingle is counted
+    SimHash proposes pairs, fingerprints of a few differing bits, which are checked on whole shingle sets.  It misses near ones of more
+    bits; so that no link is lost, an exact way follows for what is not in one group by then: near duplicates share a shingle of
+    their prefixes, so the texts of one shingle are a list of candidates.  Every shingle is counted
     once, in ranges of its hash, and goes back to its text only if another one has it.  Every text is
     first compared with a few leaders of its lists, which links large groups without their pairs.  What is then in
     different components of a list is compared pair by pair, except within the list's largest component.
@@ -274,7 +302,7 @@ def _grouped(docs: DataFrame, sample: int) -> DataFrame:
     common, counts = _common(docs, sample)
     found = stored(_texts(docs, common, counts), "near-texts")
     firsts = [F.min("doc_id").alias("first"), F.min("same").alias("same"), F.max("size").alias("size"), F.max("n_common").alias("n_common")]
-    classes = stored(found.groupBy("set").agg(*firsts, F.max("commons").alias("commons")), "near-classes")
+    classes = stored(found.groupBy("set").agg(*firsts, F.max("commons").alias("commons"), F.min("fp").alias("fp")), "near-classes")
     total = classes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     bits, buckets = min(24, max(0, (total[0] // RANGE).bit_length())), 1 + total[1] // BUCKET
     posts = stored(_posts(classes, _shared(_packed(docs, common, bits), buckets), buckets), "near-posts")
@@ -282,7 +310,8 @@ def _grouped(docs: DataFrame, sample: int) -> DataFrame:
     lists = stored(lists.where("n > 1"), "near-lists")
     posts = stored(posts.join(lists, "shingle"), "near-listed")
 
-    links = _verified(_led(posts, F.struct("set", "size", "pos")), docs, classes)
+    proposed = _by_fingerprint(classes).union(_led(posts, F.struct("set", "size", "pos")))
+    links = _verified(proposed, docs, classes)
     open_ = _open(posts, classes, links)
     side = F.struct("set", "size", "pos", "root", (F.col("root") == F.col("largest")).alias("in_largest"))
     left = open_.where("root != largest").select("shingle", side.alias("x"))
@@ -302,7 +331,7 @@ def representatives(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
 
     Near duplicates are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more; groups are what
     such pairs link.  A-Z are lower-cased, words are runs without ASCII white space; texts of the same shingles, and all
-    without words (null ones too), are copies.  All pairs are found: the sample only names the common shingles, which are
+    without words (null ones too), are copies.  SimHash links come first and are checked exactly; all other pairs are found too: the sample only names the common shingles, which are
     ordered last instead of being counted, so that none of them makes a hot spot; hashes of 48 bits that coincide only add
     candidates, which are counted on whole shingle sets.
 
